@@ -92,9 +92,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words [^\\x20\\x09-\\x0D]+ of every row, and at each row the number of words before it."""
-    dark = ~WHITE[data]
+def word_spans(data: np.ndarray, at: np.ndarray, white: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words [^\\x20\\x09-\\x0D]+ of every row, and at each row the number of words before it. white: other bytes between words."""
+    dark = ~white[data]
     edge = np.ones(len(data) + 1, bool)
     edge[1:-1] = ~dark[:-1]
     edge[at] = True
@@ -123,5 +123,11 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1]) + np.repeat(starts - ends + sizes, sizes)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct values."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def packed(rows: list[bytes]) -> pa.Array:
     return pa.array(rows, pa.binary())

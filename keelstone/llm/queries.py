@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, sentence_pieces, sharding, token_counts, topk
+from . import decontamination, language_id, ngram_join, recurrent_lm, sentence_pieces, sharding, token_counts, topk
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,10 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.tokenize(_documents(spark, sf_dir), sentence_pieces.load(vocabulary_path("piece_bpe_32k.model")), results=False)
 
@@ -37,6 +41,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, sf_dir), token_counts.greedy(vocabulary))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.groups(_documents(spark, sf_dir))
+
+
 def held_out(parts: int, part: int):
     """Whether crc32(doc_id as text) mod parts is part; a null id is in no part."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == part, F.lit(False))
@@ -48,12 +56,19 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model).select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score", "phrase_rate")
 
 
+def op10_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score(_documents(spark, sf_dir), held_out(5, 1))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_maxscore": op3_maxscore,
     "op4_sharding": op4_sharding,
     "op5_token_counts": op5_token_counts,
+    "op6_ngram_join": op6_ngram_join,
     "op7_language_id": op7_language_id,
+    "op10_recurrent_lm": op10_recurrent_lm,
 }
 
 ORACLES: dict[str, str] = {
