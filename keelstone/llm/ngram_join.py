@@ -214,7 +214,7 @@ def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(is_marked(np.asarray(batch.column("doc_id"), dtype=np.int64), shared.value)))
 
-    texts = docs.where("doc_id is not null and text is not null").mapInArrow(named, "doc_id long, text string")
+    texts = docs.where("doc_id is not null and text is not null").mapInArrow(named, "doc_id long, text string").hint("merge")
     copies = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("c")).select("a", F.ceil(F.col("c") / SALT).cast("int").alias("salts"))
     members = pairs.join(copies, "a").withColumn("salt", F.pmod(F.xxhash64("b", "bk"), F.col("salts")).cast("int")).join(texts.withColumnRenamed("doc_id", "b"), "b").select("a", "ak", "salt", F.lit(1).alias("kind"), "b", "bk", "text")
     leaders = pairs.select("a", "ak").distinct().join(copies, "a").join(texts.withColumnRenamed("doc_id", "a"), "a").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select("a", "ak", "salt", F.lit(0).alias("kind"), F.col("a").alias("b"), F.col("ak").alias("bk"), "text")
@@ -386,7 +386,7 @@ def groups(docs: DataFrame) -> DataFrame:
     links = staged(compared(docs, staged(pairs, "join-pairs")), "join-links")
     known = components(links)
     labels = classes.join(known.withColumnRenamed("id", "rep"), "rep", "left").selectExpr("k1", "k2", "rep", "coalesce(root, rep) label")
-    sets = staged(sets.join(labels, ["k1", "k2"]), "join-labelled")
+    sets = staged(sets.join(labels.hint("merge"), ["k1", "k2"]), "join-labelled")
     total = sets.agg(F.sum(F.length("tokens") / 8)).first()[0] or 0
     parts = max(parts, -(-int(total) // 2_000_000))
     live = staged(live_lists(sets, parts), "join-live")
