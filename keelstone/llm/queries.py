@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, ngram_join, recurrent_lm, sentence_pieces, sharding, token_counts, topk
+from . import decontamination, id_files, language_id, license_scan, ngram_join, recurrent_lm, sentence_pieces, sharding, token_counts, topk
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +56,15 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model).select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score", "phrase_rate")
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return license_scan.scan(docs, license_scan.train(license_scan.sample(docs)))
+
+
+def op9_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_files.stored(_documents(spark, sf_dir), vocabulary_path("byte_bpe_50k.json"))
+
+
 def op10_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recurrent_lm.score(_documents(spark, sf_dir), held_out(5, 1))
 
@@ -68,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_ngram_join": op6_ngram_join,
     "op7_language_id": op7_language_id,
+    "op8_license_scan": op8_license_scan,
+    "op9_id_files": op9_id_files,
     "op10_recurrent_lm": op10_recurrent_lm,
 }
 
