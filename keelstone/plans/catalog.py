@@ -1,4 +1,228 @@
-"""The registered queries over the engine's own operators and their SQL."""
+"""The registered queries over the engine's own operators and their SQL.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+Queries on keyed tables are given as predicates; each is executed as one filter, whatever branches it is classified into.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..functions.attributes import attribute, attribute_exists, attribute_is_null, attribute_not_exists, element, elements, number_as_text
+from ..operators.access import read
+from ..operators.keymap import LengthSplit, LengthSplitBoth, map_keys
+from ..operators.predicate import Opaque, Predicate, attr, parse
+from ..operators.segments import with_segment
+from ..sources.tables import Catalog, TableDef
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return Catalog(spark, sf_dir).load(name)
+
+
+def _keyed(name: str, table: str, predicate: Predicate, columns: str, sql: str) -> None:
+    QUERIES[name] = lambda spark, d: read(_table(spark, d, table), predicate).select(*columns.split(", "))
+    ORACLES[name] = f"select {columns} from {table} where {sql}"
+
+
+def _query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+ORDERS, LINES, EVENTS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice", "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity", "event_id, user_id, event_type, value"
+
+# point reads, key queries, scans
+_keyed("get_hash", "orders", attr("o_orderkey") == 42, ORDERS, "o_orderkey = 42")
+_keyed("get_hash_range", "conversations", (attr("conv_id") == 3) & (attr("turn") == 1), "conv_id, turn, role, text", "conv_id = 3 and turn = 1")
+_keyed("multi_get", "orders", (attr("o_orderkey") == 1) | (attr("o_orderkey") == 7), ORDERS, "o_orderkey = 1 or o_orderkey = 7")
+_keyed("query_hash", "lineitem", attr("l_orderkey") == 10, LINES, "l_orderkey = 10")
+_keyed("query_hash_range_gte", "lineitem", (attr("l_orderkey") == 10) & (attr("l_linenumber") >= 3), LINES, "l_orderkey = 10 and l_linenumber >= 3")
+_keyed("query_hash_range_lt", "lineitem", (attr("l_orderkey") == 10) & (attr("l_linenumber") < 5), LINES, "l_orderkey = 10 and l_linenumber < 5")
+_keyed("query_hash_range_between", "lineitem", (attr("l_orderkey") == 10) & attr("l_linenumber").between(2, 5), LINES, "l_orderkey = 10 and l_linenumber between 2 and 5")
+_keyed("query_hash_multi_range", "lineitem", (attr("l_orderkey") == 10) & (attr("l_linenumber") >= 2) & (attr("l_linenumber") != 4), LINES, "l_orderkey = 10 and l_linenumber >= 2 and l_linenumber <> 4")
+_keyed("query_hash_attr", "events", (attr("user_id") == 3) & (attr("event_type") == "click"), EVENTS, "user_id = 3 and event_type = 'click'")
+_keyed("get_or_query", "orders", (attr("o_orderkey") == 1) | ((attr("o_orderkey") == 2) & (attr("o_totalprice") >= 2)), ORDERS, "o_orderkey = 1 or (o_orderkey = 2 and o_totalprice >= 2)")
+_keyed("query_or_query", "orders", ((attr("o_orderkey") == 1) & (attr("o_totalprice") > 0)) | ((attr("o_orderkey") == 2) & (attr("o_totalprice") > 0)), ORDERS, "(o_orderkey = 1 and o_totalprice > 0) or (o_orderkey = 2 and o_totalprice > 0)")
+_keyed("overlapping_branches", "orders", (attr("o_orderkey") == 1) | ((attr("o_orderkey") == 1) & (attr("o_totalprice") > 0)), ORDERS, "o_orderkey = 1 or (o_orderkey = 1 and o_totalprice > 0)")
+_keyed("query_and_query_scan", "orders", (attr("o_orderkey") == 1) & (attr("o_orderkey") == 2), ORDERS, "o_orderkey = 1 and o_orderkey = 2")
+_keyed("query_or_attr_scan", "events", ((attr("user_id") == 3) & (attr("value") > 100)) | (attr("event_type") == "error"), EVENTS, "(user_id = 3 and value > 100) or event_type = 'error'")
+_keyed("or_under_and", "orders", ((attr("o_orderkey") == 1) | (attr("o_orderkey") == 2)) & (attr("o_totalprice") > 0), ORDERS, "(o_orderkey = 1 or o_orderkey = 2) and o_totalprice > 0")
+_keyed("scan_eq", "lineitem", attr("l_returnflag") == "R", LINES, "l_returnflag = 'R'")
+_keyed("scan_ne", "lineitem", attr("l_returnflag") != "R", LINES, "l_returnflag <> 'R'")
+_keyed("scan_gt", "lineitem", attr("l_quantity") > 45, LINES, "l_quantity > 45")
+_keyed("scan_lt", "lineitem", attr("l_quantity") < 5, LINES, "l_quantity < 5")
+_keyed("scan_lte", "lineitem", attr("l_quantity") <= 3, LINES, "l_quantity <= 3")
+_keyed("scan_between", "lineitem", attr("l_quantity").between(10, 12), LINES, "l_quantity between 10 and 12")
+_keyed("scan_between_tightened", "lineitem", attr("l_quantity").between(1, 10) & (attr("l_quantity") >= 4) & (attr("l_quantity") <= 7), LINES, "l_quantity between 4 and 7")
+_keyed("scan_between_ne", "lineitem", attr("l_quantity").between(1, 10) & (attr("l_quantity") != 5), LINES, "l_quantity between 1 and 10 and l_quantity <> 5")
+_keyed("scan_is_null", "orders", attr("o_orderstatus").not_exists(), ORDERS, "o_orderstatus is null")
+_keyed("scan_is_not_null", "orders", attr("o_orderstatus").exists(), ORDERS, "o_orderstatus is not null")
+_keyed("or_with_unpushable", "orders", (attr("o_orderkey") == 1) | Opaque("upper(o_orderstatus) = 'F'"), ORDERS, "o_orderkey = 1 or upper(o_orderstatus) = 'F'")
+_keyed("col_eq_col", "lineitem", Opaque("l_partkey = l_suppkey"), LINES, "l_partkey = l_suppkey")
+_keyed("like_residual", "part", Opaque("p_name like '%a%'"), "p_partkey, p_name", "p_name like '%a%'")
+_keyed("not_residual", "orders", ~((attr("o_orderkey") <= 100) | (attr("o_orderstatus") == "O")), ORDERS, "not (o_orderkey <= 100 or o_orderstatus = 'O')")
+_keyed("in_list", "orders", attr("o_orderkey").isin(3, 5, 9, 70), ORDERS, "o_orderkey in (3, 5, 9, 70)")
+
+
+@_query("transposed_compare", f"select {LINES} from lineitem where 45 < l_quantity")
+def transposed_compare(spark: SparkSession, d: str) -> DataFrame:
+    return read(_table(spark, d, "lineitem"), parse(spark, "45 < l_quantity")).select(*LINES.split(", "))
+
+
+@_query("cast_column_compare", f"select {ORDERS} from orders where cast(round(o_totalprice) as bigint) >= 200000")
+def cast_column_compare(spark: SparkSession, d: str) -> DataFrame:
+    return read(_table(spark, d, "orders"), parse(spark, "cast(round(o_totalprice) as bigint) >= 200000")).select(*ORDERS.split(", "))
+
+
+@_query("scan_full", "select count(*) as n, sum(l_orderkey) as keys, sum(l_linenumber)::bigint as numbers from lineitem")
+def scan_full(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "lineitem").agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("keys"), F.sum("l_linenumber").alias("numbers"))
+
+
+# projection, nesting, lists, numbers, compound keys
+@_query("project_star", "select * from nation")
+def project_star(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "nation").select("*")
+
+
+@_query("project_columns", "select c_custkey, c_mktsegment from customer")
+def project_columns(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "customer").select("c_custkey", "c_mktsegment")
+
+
+@_query("nested_field", "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events")
+def nested_field(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "events").select("event_id", attribute(F.parse_json("props"), "$.k", "bigint").alias("k"))
+
+
+@_query("nested_filter", "select event_id, user_id from events where cast(json_extract_string(props, '$.k') as bigint) >= 50")
+def nested_filter(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "events").where(attribute(F.parse_json("props"), "$.k", "bigint") >= 50).select("event_id", "user_id")
+
+
+@_query("list_index", "select vec_id, embedding[1] as first, embedding[64] as last, embedding[65] as beyond from embeddings")
+def list_index(spark: SparkSession, d: str) -> DataFrame:
+    e = F.col("embedding")
+    return spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", element(e, 0).alias("first"), element(e, 63).alias("last"), element(e, 64).alias("beyond"))
+
+
+@_query("list_indexes", "select vec_id, x[1] is null as gap, x[3] as third, x[6] as sixth, len(x)::int as n from (select vec_id, [null, null, embedding[3], null, null, embedding[6]] as x from embeddings)")
+def list_indexes(spark: SparkSession, d: str) -> DataFrame:
+    own = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", elements(F.col("embedding"), [2, 5]).alias("x"))
+    return own.select("vec_id", element(F.col("x"), 0).isNull().alias("gap"), element(F.col("x"), 2).alias("third"), element(F.col("x"), 5).alias("sixth"), F.size("x").alias("n"))
+
+
+@_query("number_as_text", "select o_orderkey, cast(cast(o_totalprice as decimal(18,2)) as varchar) as price from orders")
+def number_text(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "orders").select("o_orderkey", number_as_text(F.col("o_totalprice")).alias("price"))
+
+
+@_query("mapper_hash_split", "select c_name, substr(c_name, 1, 9) as kind, substr(c_name, 10) as number from customer")
+def mapper_hash_split(spark: SparkSession, d: str) -> DataFrame:
+    return map_keys(_table(spark, d, "customer").select("c_name"), LengthSplit(9, ("kind", "number")), "c_name")
+
+
+@_query("mapper_range_numeric", "select c_name, s_name, substr(c_name, 1, 9) as h1, substr(c_name, 10) as h2, try_cast(substr(s_name, 1, 9) as bigint) as r1, try_cast(substr(s_name, 10) as bigint) as r2 from customer join supplier on c_custkey = s_suppkey")
+def mapper_range_numeric(spark: SparkSession, d: str) -> DataFrame:
+    both = _table(spark, d, "customer").join(_table(spark, d, "supplier"), F.col("c_custkey") == F.col("s_suppkey")).select("c_name", "s_name")
+    own = map_keys(both, LengthSplitBoth(9, ("h1", "h2", "r1", "r2")), "c_name", "s_name")
+    return own.withColumns({c: F.col(c).cast("bigint") for c in ("r1", "r2")})
+
+
+@_query("mapper_part_filter", "select c_custkey, substr(c_name, 10) as number from customer where substr(c_name, 10) >= '000000100'")
+def mapper_part_filter(spark: SparkSession, d: str) -> DataFrame:
+    own = Catalog(spark, d, [TableDef("customer", "c_name")], [("custo.*", {"type": "length-split", "length": 9, "names": ("kind", "number")})]).load("customer")
+    return read(own, attr("number") >= "000000100").select("c_custkey", "number")
+
+
+# absent and null attributes: items with a note that is absent, null or there, by the remainder of k
+ITEMS = "case when event_id % 3 = 0 then '{\"id\": 1}' when event_id % 3 = 1 then '{\"note\": null}' else '{\"note\": \"x\"}' end"
+
+
+def _items(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "events").select("event_id", F.parse_json(F.expr(ITEMS)).alias("item"))
+
+
+@_query("attr_not_exists", "select event_id from events where event_id % 3 = 0")
+def attr_not_exists(spark: SparkSession, d: str) -> DataFrame:
+    return _items(spark, d).where(attribute_not_exists(F.col("item"), "$.note")).select("event_id")
+
+
+@_query("attr_exists", "select event_id from events where event_id % 3 <> 0")
+def attr_exists(spark: SparkSession, d: str) -> DataFrame:
+    return _items(spark, d).where(attribute_exists(F.col("item"), "$.note")).select("event_id")
+
+
+@_query("attr_is_null", "select event_id from events where event_id % 3 = 1")
+def attr_is_null(spark: SparkSession, d: str) -> DataFrame:
+    return _items(spark, d).where(attribute_is_null(F.col("item"), "$.note")).select("event_id")
+
+
+# segments, catalogue
+@_query("segment_scan", "select count(*) as n, sum(l_orderkey) as keys, 8::bigint as segments from lineitem")
+def segment_scan(spark: SparkSession, d: str) -> DataFrame:
+    each = with_segment(_table(spark, d, "lineitem"), "l_orderkey", 8).groupBy("segment").agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("keys"))
+    return each.agg(F.sum("n").alias("n"), F.sum("keys").alias("keys"), F.count("*").alias("segments"))
+
+
+@_query("table_listing")
+def table_listing(spark: SparkSession, d: str) -> DataFrame:
+    return Catalog(spark, d).listing()
+
+
+# what the host engine supplies: joins, aggregates, windows, sorts, set operations
+def _sql(name: str, text: str, oracle: str | None = None) -> None:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        tables = Catalog(spark, d)
+        own = {t: tables.load(t) for t in tables.names() if f"{{{t}}}" in text}
+        return spark.sql(text, **own)
+
+    QUERIES[name] = run
+    plain = text
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "conversations"):
+        plain = plain.replace(f"{{{t}}}", t)
+    ORACLES[name] = oracle or plain
+
+
+_sql("join_inner", "select n_name, r_name from {nation} join {region} on n_regionkey = r_regionkey")
+_sql("join_left", "select c_custkey, o_orderkey from {customer} left join {orders} on c_custkey = o_custkey")
+_sql("join_right", "select c_custkey, s_suppkey from {customer} right join {supplier} on c_custkey = s_suppkey + 1000000")
+_sql("join_full", "select c_custkey, s_suppkey from {customer} full join {supplier} on c_custkey = s_suppkey + 10")
+_sql("join_semi", "select c_custkey from {customer} left semi join {orders} on c_custkey = o_custkey", "select c_custkey from customer where exists (select 1 from orders where o_custkey = c_custkey)")
+_sql("join_anti", "select c_custkey from {customer} left anti join {orders} on c_custkey = o_custkey", "select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+_sql("join_theta", "select a.n_nationkey as a, b.n_nationkey as b from {nation} a join {nation} b on a.n_regionkey = b.n_regionkey and a.n_nationkey < b.n_nationkey")
+_sql("join_three", "select r_name, count(*) as n, round(sum(o_totalprice), 2) as total from {orders} join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey group by r_name")
+_sql("agg_group", "select l_returnflag, l_linestatus, count(*) as n, round(sum(l_quantity), 2) as quantity, round(avg(l_discount), 6) as discount from {lineitem} group by l_returnflag, l_linestatus")
+_sql("agg_having", "select o_custkey, count(*) as n from {orders} group by o_custkey having count(*) > 12")
+_sql("agg_distinct", "select count(distinct l_partkey) as parts, count(distinct l_suppkey) as suppliers from {lineitem}")
+_sql("distinct_rows", "select distinct l_returnflag, l_linestatus from {lineitem}")
+_sql("agg_grouping_sets", "select o_orderstatus, o_orderpriority, count(*) as n from {orders} group by grouping sets ((o_orderstatus, o_orderpriority), (o_orderstatus), ())")
+_sql("agg_rollup", "select l_returnflag, l_linestatus, count(*) as n from {lineitem} group by rollup (l_returnflag, l_linestatus)")
+_sql("agg_cube", "select l_returnflag, l_linestatus, count(*) as n from {lineitem} group by cube (l_returnflag, l_linestatus)")
+_sql("window_rank", "select o_custkey, o_orderkey, r from (select o_custkey, o_orderkey, rank() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as r from {orders}) where r <= 2")
+_sql("window_lag", "select event_id, lag(event_id) over (partition by user_id order by ts, event_id) as before from {events}")
+_sql("sort_limit", "select o_orderkey, o_totalprice from {orders} order by o_totalprice desc, o_orderkey limit 20")
+_sql("range_order", "select conv_id, turn, role from {conversations} where conv_id = 3 order by turn")
+_sql("set_union", "select c_nationkey as k from {customer} union select s_nationkey as k from {supplier}")
+_sql("set_union_all", "select n_regionkey as k from {nation} union all select r_regionkey as k from {region}")
+_sql("set_intersect", "select c_nationkey as k from {customer} intersect select s_nationkey as k from {supplier}")
+_sql("set_except", "select p_partkey as k from {part} except select l_partkey as k from {lineitem}")
+_sql("scalar_functions", "select n_nationkey, upper(n_name) as u, lower(n_name) as l, length(n_name) as n, concat(n_name, '-', n_regionkey) as c, abs(n_regionkey - 3) as a, coalesce(nullif(n_regionkey, 1), -1) as q from {nation}", "select n_nationkey, upper(n_name) as u, lower(n_name) as l, length(n_name)::int as n, concat(n_name, '-', n_regionkey) as c, abs(n_regionkey - 3) as a, coalesce(nullif(n_regionkey, 1), -1) as q from nation")
+
+
+@_query("window_frame", "select o_orderkey, count(*) over (partition by o_custkey order by o_orderkey rows between 2 preceding and current row) as n from orders")
+def window_frame(spark: SparkSession, d: str) -> DataFrame:
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey").rowsBetween(-2, 0)
+    return _table(spark, d, "orders").select("o_orderkey", F.count("*").over(w).alias("n"))
