@@ -391,7 +391,9 @@ def groups(docs: DataFrame) -> DataFrame:
     parts = max(parts, -(-int(total) // 2_000_000))
     live = staged(live_lists(sets, parts), "join-live")
     more = staged(across_groups(sets, live, parts), "join-more")
-    known = components(links.union(compared(docs, more)))
+    found = staged(compared(docs, more), "join-links")
+    if not found.isEmpty():
+        known = components(known.selectExpr("id a", "root b").union(found))
     ends = classes.join(known.withColumnRenamed("id", "rep"), "rep", "left").selectExpr("k1", "k2", "coalesce(root, rep) component")
     alone = rows.where("doc_id is null or n = 0").selectExpr("doc_id", "n n_shingles", "doc_id component_id")
     return rows.where("doc_id is not null and n > 0").join(ends, ["k1", "k2"]).selectExpr("doc_id", "n n_shingles", "component component_id").union(alone)
