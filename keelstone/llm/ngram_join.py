@@ -53,7 +53,7 @@ def shingle_sets(column: pa.Array) -> list[np.ndarray]:
         elif b > a:
             few = U64(b - a)
             for x in h[a:b]:
-                few = mixed(np.array([few * FACTORS[0] + x]))[0]
+                few = mixed(np.array([few]) * FACTORS[0] + x)[0]
             out.append(np.array([few ^ U64(0x5DEECE66D)]))
         else:
             out.append(np.zeros(0, U64))

@@ -85,8 +85,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_maxscore": """
 with v as (
-  select vec_id, list_transform(embedding, x -> floor(1024 * x::double)) as e from embeddings
-  where vec_id is not null and embedding is not null and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
 ), s as (
   select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
   from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0
