@@ -32,6 +32,7 @@ FREQUENT = 64
 LIST_BITS, MARK_BITS, MARK_SEGMENT = 11, 26, 15
 HELD = 3_000_000
 SALT = 32
+SHORT = 16
 FACTORS = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
 
@@ -325,6 +326,31 @@ def list_pairs(n: np.ndarray, pos: np.ndarray, group: np.ndarray) -> tuple[np.nd
     return np.concatenate(left or none), np.concatenate(right or none)
 
 
+def pairs_of(own: np.ndarray) -> pa.RecordBatch:
+    """Pairs (a, ak, b, bk) of whole lists, given as rows token, id, key, size, group and position in order of token."""
+    token, x, k, n, label, pos = own
+    cuts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]])) if len(token) else np.zeros(1, int)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    length = np.diff(cuts)
+    place = np.arange(len(token)) - np.repeat(cuts[:-1], length)
+    few = np.repeat(np.where(length <= SHORT, length, 0), length)
+    for d in range(1, SHORT):  # all short lists at once: each place with the one d further on
+        i = np.flatnonzero(place + d < few)
+        i = i[label[i] != label[i + d]]
+        i = i[overlaps(n[i], pos[i], n[i + d], pos[i + d])]
+        left.append(i)
+        right.append(i + d)
+    long = np.flatnonzero(length > SHORT)
+    for a, b in zip(cuts[long], cuts[long + 1], strict=True):
+        if (label[a:b] != label[a]).any():
+            i, j = list_pairs(n[a:b], pos[a:b], label[a:b])
+            left.append(a + i)
+            right.append(a + j)
+    i, j = np.concatenate(left), np.concatenate(right)
+    i, j = np.where(x[i] < x[j], i, j), np.where(x[i] < x[j], j, i)
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (x[i], k[i], x[j], k[j])], names=["a", "ak", "b", "bk"])
+
+
 def across_groups(sets: DataFrame, live: DataFrame, parts: int) -> DataFrame:
     """Pairs (a, ak, b, bk) of sets in different groups that the live lists leave to compare."""
     shared = sets.sparkSession.sparkContext.broadcast(marks(live))
@@ -348,19 +374,6 @@ def across_groups(sets: DataFrame, live: DataFrame, parts: int) -> DataFrame:
         if rest is not None:
             yield pairs_of(rest)
 
-    def pairs_of(own: np.ndarray) -> pa.RecordBatch:
-        token, x, k, n, label, pos = own
-        cuts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]])) if len(token) else np.zeros(1, int)
-        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            if b - a > 1 and (label[a:b] != label[a]).any():
-                i, j = list_pairs(n[a:b], pos[a:b], label[a:b])
-                left.append(a + i)
-                right.append(a + j)
-        i, j = np.concatenate(left), np.concatenate(right)
-        i, j = np.where(x[i] < x[j], i, j), np.where(x[i] < x[j], j, i)
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in (x[i], k[i], x[j], k[j])], names=["a", "ak", "b", "bk"])
-
     rows = sets.select("rep", "k1", "n", "label", "tokens").mapInArrow(send, "token long, x long, k long, n long, label long, pos long")
     return rows.repartition(parts, "token").sortWithinPartitions("token").mapInArrow(meet, "a long, ak long, b long, bk long").distinct()
 
