@@ -2,9 +2,10 @@
 
 A block holds BLOCK ids. Each id is coded by an adaptive range coder in up to three choices: is it the id that last followed the two ids
 before it (order 2); if not, is it the id that last followed the one before it (order 1); if not, which of the 68 classes of the
-order-0 model it falls in, and its remaining bits. The chance that an order's prediction holds mixes two adaptive estimates, one
-per count of hits of this context and one per outcome of the last choices. All blocks of a batch are coded side by side, one array
-step for each id, and every block starts with fresh models. A block carries the CRC-32 of its ids; a reader checks it.
+order-0 model it falls in, and its remaining bits. The order-0 table follows its counts every REFRESH ids, and after the first 1, 2,
+4 ... ids. The chance that an order's prediction holds mixes two adaptive estimates, one per count of hits of this context and one per
+outcome of the last choices. All blocks of a batch are coded side by side, one array step for each id, and every block starts with
+fresh models. A block carries the CRC-32 of its ids; a reader checks it.
 
 Files are Parquet rows with binary payloads, so they can lie in any store that Spark writes to.
 """
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from .common import U64, pieces, ragged, shared_dir
 
 BLOCK, CONTEXTS, CLASSES, END = 4096, 1 << 12, 68, 2
+REFRESH = 32
 FILE_IDS = 4_000_000
 KEPT_RUNS = 400_000
 U32 = np.uint32
@@ -42,6 +44,7 @@ class Models:
         self.by_past = [np.full((lanes, 4), 0.5, np.float32) for _ in range(2)]
         self.past = np.zeros(lanes, np.int64)
         self.freq = np.ones((lanes, CLASSES), np.int32)
+        self.table = scaled(self.freq)
         self.last = np.zeros((2, lanes), np.int64)
 
     def contexts(self) -> list[np.ndarray]:
@@ -67,9 +70,13 @@ class Models:
 
     def count(self, rows: np.ndarray, classes: np.ndarray):
         self.freq[rows, classes] += 24
+
+    def refresh(self, rows: np.ndarray):
+        """The order-0 table follows the counts from here on."""
         full = rows[self.freq[rows].sum(1) > 60_000]
         if len(full):
             self.freq[full] = (self.freq[full] + 1) >> 1
+        self.table[rows] = scaled(self.freq[rows])
 
 
 def class_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -173,6 +180,8 @@ def code(coder: Writer | Reader, sizes: np.ndarray, known: np.ndarray | None) ->
     alive = np.searchsorted(-sizes[order], -np.arange(steps), "left")
     for t in range(steps):
         rows = np.sort(order[: alive[t]])
+        if t % REFRESH == 0 or t & (t - 1) == 0:
+            m.refresh(rows)
         contexts, past = m.contexts(), np.full(len(rows), 2)
         open_rows, place = rows, np.arange(len(rows))
         now = np.zeros(len(rows), np.int64) if reading else ids[rows, t]
@@ -193,16 +202,14 @@ def code(coder: Writer | Reader, sizes: np.ndarray, known: np.ndarray | None) ->
             left[np.flatnonzero(some)[hit]] = False
             open_rows, place = open_rows[left], place[left]
         if len(open_rows):
-            cumulative = scaled(m.freq[open_rows])
-            at = np.arange(len(open_rows))
             if reading:
                 spot = coder.at(open_rows, 16)
-                cls = (cumulative[:, 1:] <= spot[:, None]).sum(1)
+                cls = (m.table[open_rows, 1:] <= spot[:, None]).sum(1)
                 first, bits = from_class(cls)
-                coder.drop(open_rows, cumulative[at, cls], cumulative[at, cls + 1] - cumulative[at, cls], 16)
             else:
                 cls, bits, rest = class_of(now[place])
-                coder.code(open_rows, cumulative[at, cls], cumulative[at, cls + 1] - cumulative[at, cls], 16)
+            start = m.table[open_rows, cls]
+            (coder.drop if reading else coder.code)(open_rows, start, m.table[open_rows, cls + 1] - start, 16)
             r, b = open_rows[bits > 0], bits[bits > 0]
             if reading:
                 rest = coder.at(r, b)
