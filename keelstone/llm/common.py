@@ -78,7 +78,7 @@ _powers: dict[int, np.ndarray] = {}
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0, 1 ... modulo 2 ** 64, at least n of them."""
     if base not in _powers or len(_powers[base]) < n:
-        out = np.full(max(n, CHUNK_BYTES + 1), base, U64)
+        out = np.full(max(2 * n, 1 << 16), base, U64)
         out[0] = 1
         np.multiply.accumulate(out, out=out)
         _powers[base] = out

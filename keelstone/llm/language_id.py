@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .common import pieces
 
 WINDOW = 512
+PIECE_BYTES = 2 << 20
 TRAIN_ROWS, TRAIN_CHARS = 200, 60_000
 SCHEMA = "doc_id long, lang_pred string, score double, phrase_rate double"
 UNKNOWN = 1  # code of a letter that no language has; 0 pads
@@ -97,7 +98,7 @@ class Model:
         """Phrases [language, window] of the rows of codes, whose tails are 0."""
         sizes = (windows > 0).sum(1)
         order = np.argsort(-sizes, kind="stable")
-        columns = np.ascontiguousarray(windows[order].T).astype(np.int64)
+        columns = np.ascontiguousarray(windows[order].T)
         sizes = sizes[order]
         alive = np.searchsorted(-sizes, -np.arange(len(columns)), "left")  # windows longer than each position
         out = np.zeros((len(self.automata), len(windows)), np.int64)
@@ -162,7 +163,7 @@ def identify(docs: DataFrame, model: Model | None, schema: str = SCHEMA, keep=No
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE_BYTES):
                 n = part.num_rows
                 names, scores, best = np.full(n, "und", object), np.zeros(n), np.full(n, np.nan)
                 if own is not None:

@@ -30,9 +30,10 @@ WORDS, NUMERATOR, DENOMINATOR = 5, 80, 100
 SKETCH_BITS, SEGMENT_BITS = 20, 14
 FREQUENT = 64
 LIST_BITS, MARK_BITS, MARK_SEGMENT = 11, 26, 15
-HELD = 3_000_000
+HELD = 2_000_000
 SALT = 32
 SHORT = 16
+PIECE_BYTES = 1 << 20
 FACTORS = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
 
@@ -75,7 +76,7 @@ def sketched(docs: DataFrame) -> DataFrame:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         names = ["doc_id", "n", "k1", "k2", "segment", "counts"]
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE_BYTES):
                 sets = shingle_sets(part.column("text"))
                 if sets:
                     counts += np.bincount((np.concatenate(sets) >> U64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts)).astype(np.uint32)
@@ -122,7 +123,7 @@ def prefixes(docs: DataFrame, shared) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE_BYTES):
                 own = {fingerprint(s): s for s in shingle_sets(part.column("text")) if len(s)}
                 yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in own], pa.int64()), pa.array([k[1] for k in own], pa.int64()), pa.array([len(s) for s in own.values()], pa.int32()), packed([prefix(s, table).tobytes() for s in own.values()])], names=["k1", "k2", "n", "tokens"])
 
@@ -225,7 +226,7 @@ def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, leader = None, None
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE_BYTES):
                 sets = shingle_sets(part.column("text"))
                 a, b = [], []
                 rows = zip(*(part.column(c).to_pylist() for c in ("a", "ak", "salt", "kind", "b", "bk")), sets, strict=True)
