@@ -35,9 +35,12 @@ class Compare(Predicate):
     op: str
     value: Any
 
+    @staticmethod
+    def apply(a: Column, op: str, b: Column) -> Column:
+        return {"=": a == b, "<>": a != b, "<": a < b, "<=": a <= b, ">": a > b, ">=": a >= b}[op]
+
     def column(self) -> Column:
-        a, b = F.col(self.name), F.lit(self.value)
-        return {"=": a == b, "<>": a != b, "<": a < b, "<=": a <= b, ">": a > b, ">=": a >= b}[self.op]
+        return self.apply(F.col(self.name), self.op, F.lit(self.value))
 
     def __str__(self) -> str:
         return f"{self.name} {self.op} {self.value!r}"
@@ -57,6 +60,19 @@ class Exists(Predicate):
         return f"attribute_{'not_' * self.absent}exists({self.name})"
 
 
+@dataclass(frozen=True)
+class IsNull(Predicate):
+    """The attribute is there and null. A plain column can't tell this from absent."""
+
+    name: str
+
+    def column(self) -> Column:
+        return F.col(self.name).isNull()
+
+    def __str__(self) -> str:
+        return f"{self.name} = NULL"
+
+
 @dataclass(frozen=True)
 class Opaque(Predicate):
     """SQL that no access path can use: evaluated as it stands on what is read."""
@@ -145,6 +161,9 @@ class attr:  # noqa: N801
     def not_exists(self) -> Predicate:
         return Exists(self.name, absent=True)
 
+    def is_null(self) -> Predicate:
+        return IsNull(self.name)
+
 
 def pushed_down(p: Predicate, negate: bool = False) -> Predicate:
     """Negation moved to the leaves; what it can't enter becomes opaque. (Three-valued logic is kept: each step is an SQL identity.)"""
@@ -221,20 +240,34 @@ def _simple(tree: tuple[dict, list]):
 OPS = {"EqualTo": "=", "LessThan": "<", "LessThanOrEqual": "<=", "GreaterThan": ">", "GreaterThanOrEqual": ">="}
 
 
-def parse(spark: SparkSession, sql: str) -> Predicate:
-    """The predicate of an SQL condition. Spark's own parser reads it; parts outside the tree's forms stay opaque."""
+def _null(tree: tuple[dict, list]) -> bool:
+    """Whether this is NULL, perhaps cast to a type."""
+    node, children = tree
+    kind = node["class"].rpartition(".")[2]
+    return _null(children[0]) if kind == "Cast" else kind == "Literal" and node["value"] is None
+
+
+def parse(spark: SparkSession, sql: str, explicit_nulls: bool = False) -> Predicate:
+    """The predicate of an SQL condition. Spark's own parser reads it; parts outside the tree's forms stay opaque.
+
+    explicit_nulls: a = NULL, also a cast one, asks for an attribute that is there and null, as items can have it; in SQL it is never true.
+    """
     expression = spark._jsparkSession.sessionState().sqlParser().parseExpression(sql)
-    return _convert(_tree(json.loads(expression.toJSON())), expression)
+    return _convert(_tree(json.loads(expression.toJSON())), expression, explicit_nulls)
 
 
-def _convert(tree: tuple[dict, list], source) -> Predicate:
+def _convert(tree: tuple[dict, list], source, nulls: bool) -> Predicate:
     node, children = tree
     kind = node["class"].rpartition(".")[2]
     below = lambda i: source.children().apply(i)
     if kind in ("And", "Or"):
-        return (And if kind == "And" else Or)(tuple(_convert(c, below(i)) for i, c in enumerate(children)))
+        return (And if kind == "And" else Or)(tuple(_convert(c, below(i), nulls) for i, c in enumerate(children)))
     if kind == "Not":
-        return Not(_convert(children[0], below(0)))
+        return Not(_convert(children[0], below(0), nulls))
+    if nulls and kind == "EqualTo":
+        for a, b in (children, children[::-1]):
+            if _null(b) and (x := _simple(a)) and x[0] == "name":
+                return IsNull(x[1])
     if kind in ("IsNull", "IsNotNull") and (x := _simple(children[0])) and x[0] == "name":
         return Exists(x[1], absent=kind == "IsNull")
     simple = [_simple(c) for c in children]

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.attributes import attribute, attribute_exists, attribute_is_null, attribute_not_exists, element, elements, number_as_text
-from ..operators.access import read
+from ..operators.access import classify, read
+from ..operators.item_filter import read_items
 from ..operators.keymap import LengthSplit, LengthSplitBoth, map_keys
 from ..operators.predicate import Opaque, Predicate, attr, parse
 from ..operators.segments import with_segment
-from ..sources.tables import Catalog, TableDef
+from ..sources.tables import STAR, Catalog, TableDef
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -170,7 +171,40 @@ def attr_is_null(spark: SparkSession, d: str) -> DataFrame:
     return _items(spark, d).where(attribute_is_null(F.col("item"), "$.note")).select("event_id")
 
 
+# predicates over items: text and numbers under one name, null and absent
+DRIFT = "case when event_id % 4 = 0 then '{\"v\": \"1\"}' when event_id % 4 = 1 then '{\"v\": 1}' when event_id % 4 = 2 then '{\"v\": null}' else '{\"w\": {\"x\": [5, 7]}}' end"
+
+
+def _drift(name: str, predicate: Predicate, sql: str) -> None:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        items = _table(spark, d, "events").select("event_id", "user_id", F.parse_json(F.expr(DRIFT)).alias("item"))
+        return read_items(items, predicate, keys=("event_id", "user_id")).select("event_id")
+
+    QUERIES[name], ORACLES[name] = run, f"select event_id from events where {sql}"
+
+
+_drift("item_text", attr("v") == "1", "event_id % 4 = 0")
+_drift("item_number", attr("v") == 1, "event_id % 4 = 1")
+_drift("item_unequal", attr("v") != 1, "event_id % 4 = 0")
+_drift("item_null", attr("v").is_null(), "event_id % 4 = 2")
+_drift("item_query_null", (attr("user_id") == 3) & attr("v").is_null(), "user_id = 3 and event_id % 4 = 2")
+_drift("item_absent", attr("v").not_exists(), "event_id % 4 = 3")
+_drift("item_nested", (attr("w.x[1]") >= 6) & attr("w.x").exists(), "event_id % 4 = 3")
+
+
 # segments, catalogue
+@_query("table_stats", " union all ".join(f"select '{t}' as name, count(*) as n from {t}" for t in sorted(t.name for t in STAR)))
+def table_stats(spark: SparkSession, d: str) -> DataFrame:
+    return Catalog(spark, d).stats()
+
+
+@_query("explain_access")
+def explain_access(spark: SparkSession, d: str) -> DataFrame:
+    tables = Catalog(spark, d)
+    asked = [("orders", "o_orderkey = 1 or (o_orderkey = 2 and o_totalprice >= 2)"), ("lineitem", "l_orderkey = 10 and l_linenumber between 2 and 5"), ("events", "user_id = 3 or event_type = 'error'")]
+    return spark.createDataFrame([(t, p, classify(tables.get(t), parse(spark, p)).explain()) for t, p in asked], "name string, predicate string, path string")
+
+
 @_query("segment_scan", "select count(*) as n, sum(l_orderkey) as keys, 8::bigint as segments from lineitem")
 def segment_scan(spark: SparkSession, d: str) -> DataFrame:
     each = with_segment(_table(spark, d, "lineitem"), "l_orderkey", 8).groupBy("segment").agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("keys"))
@@ -204,7 +238,10 @@ _sql("join_semi", "select c_custkey from {customer} left semi join {orders} on c
 _sql("join_anti", "select c_custkey from {customer} left anti join {orders} on c_custkey = o_custkey", "select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
 _sql("join_theta", "select a.n_nationkey as a, b.n_nationkey as b from {nation} a join {nation} b on a.n_regionkey = b.n_regionkey and a.n_nationkey < b.n_nationkey")
 _sql("join_three", "select r_name, count(*) as n, round(sum(o_totalprice), 2) as total from {orders} join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey group by r_name")
-_sql("agg_group", "select l_returnflag, l_linestatus, count(*) as n, round(sum(l_quantity), 2) as quantity, round(avg(l_discount), 6) as discount from {lineitem} group by l_returnflag, l_linestatus")
+_sql("join_broadcast", "select /*+ BROADCAST(n) */ c_custkey, n_name from {customer} c join {nation} n on c_nationkey = n_nationkey")
+_sql("join_merge", "select /*+ MERGE(c) */ o_orderkey, c_mktsegment from {orders} o join {customer} c on o_custkey = c_custkey")
+_sql("join_shuffled_hash", "select /*+ SHUFFLE_HASH(c) */ c_mktsegment, count(*) as n from {orders} o join {customer} c on o_custkey = c_custkey group by c_mktsegment")
+_sql("agg_group","select l_returnflag, l_linestatus, count(*) as n, round(sum(l_quantity), 2) as quantity, round(avg(l_discount), 6) as discount from {lineitem} group by l_returnflag, l_linestatus")
 _sql("agg_having", "select o_custkey, count(*) as n from {orders} group by o_custkey having count(*) > 12")
 _sql("agg_distinct", "select count(distinct l_partkey) as parts, count(distinct l_suppkey) as suppliers from {lineitem}")
 _sql("distinct_rows", "select distinct l_returnflag, l_linestatus from {lineitem}")
@@ -219,7 +256,9 @@ _sql("set_union", "select c_nationkey as k from {customer} union select s_nation
 _sql("set_union_all", "select n_regionkey as k from {nation} union all select r_regionkey as k from {region}")
 _sql("set_intersect", "select c_nationkey as k from {customer} intersect select s_nationkey as k from {supplier}")
 _sql("set_except", "select p_partkey as k from {part} except select l_partkey as k from {lineitem}")
-_sql("scalar_functions", "select n_nationkey, upper(n_name) as u, lower(n_name) as l, length(n_name) as n, concat(n_name, '-', n_regionkey) as c, abs(n_regionkey - 3) as a, coalesce(nullif(n_regionkey, 1), -1) as q from {nation}", "select n_nationkey, upper(n_name) as u, lower(n_name) as l, length(n_name)::int as n, concat(n_name, '-', n_regionkey) as c, abs(n_regionkey - 3) as a, coalesce(nullif(n_regionkey, 1), -1) as q from nation")
+_sql("set_intersect_all", "select c_nationkey as k from {customer} intersect all select s_nationkey as k from {supplier}")
+_sql("set_except_all", "select c_nationkey as k from {customer} except all select s_nationkey as k from {supplier}")
+_sql("scalar_functions","select n_nationkey, upper(n_name) as u, lower(n_name) as l, length(n_name) as n, concat(n_name, '-', n_regionkey) as c, abs(n_regionkey - 3) as a, coalesce(nullif(n_regionkey, 1), -1) as q from {nation}", "select n_nationkey, upper(n_name) as u, lower(n_name) as l, length(n_name)::int as n, concat(n_name, '-', n_regionkey) as c, abs(n_regionkey - 3) as a, coalesce(nullif(n_regionkey, 1), -1) as q from nation")
 
 
 @_query("window_frame", "select o_orderkey, count(*) over (partition by o_custkey order by o_orderkey rows between 2 preceding and current row) as n from orders")

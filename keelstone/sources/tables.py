@@ -6,6 +6,7 @@ import re
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -48,5 +49,12 @@ class Catalog:
         for name in self.names():
             self.load(name).createOrReplaceTempView(name)
 
+    def stats(self) -> DataFrame:
+        """name and row count of every table: counted, in one job that reads no column."""
+        from functools import reduce
+
+        each = [self.load(n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n") for n in self.names()]
+        return reduce(DataFrame.union, each)
+
     def listing(self) -> DataFrame:
         return self.spark.createDataFrame([(t.name, t.hash_key, t.range_key) for t in map(self.get, self.names())], "name string, hash_key string, range_key string")

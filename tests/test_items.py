@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from keelstone.functions.attributes import attribute, attribute_exists, attribute_is_null, attribute_not_exists, element, elements, number_as_text
+from keelstone.operators.access import classify
+from keelstone.operators.item_filter import read_items
 from keelstone.operators.keymap import LengthSplit, LengthSplitBoth, map_keys, mapper
-from keelstone.operators.predicate import attr
+from keelstone.operators.predicate import attr, parse
 from keelstone.sources.items import ItemSource
 from keelstone.sources.tables import Catalog, TableDef
 from keelstone.streaming.follow import follow
@@ -28,6 +30,21 @@ def test_absent_and_null(spark):
     assert keys(df.where(attribute(v, "$.x", "bigint") == 1)) == ["c", "d"]
 
 
+def test_predicates_over_items(spark):
+    df = items(spark, {"pk": "a"}, {"pk": "b", "x": None}, {"pk": "c", "x": 1}, {"pk": "d", "x": "1"}, {"pk": "e", "x": True}, {"pk": "f", "x": 2.5, "m": {"l": [4, 9]}}, {"pk": "g", "x": 1e30})
+    x = attr("x")
+    cases = {
+        "c": x == 1, "d": x == "1", "b": x.is_null(), "a": x.not_exists(), "e": x == True, "cf": (x >= 1) & (x < 3), "fg": x > 1.5, "defg": x != 1, "f": attr("m.l[1]") == 9,  # noqa: E712
+        "": (attr("pk") == "a") & (x == 1), "ac": (attr("pk") == "a") | (x == 1), "bd": (attr("pk") == "b") | (x == "1"), "defg ": ~(x == 1), "abcdeg": attr("m").not_exists(),
+    }
+    for want, p in cases.items():
+        assert keys(read_items(df, p)) == list(want.strip()), str(p)
+    assert keys(read_items(df, parse(spark, "x = cast(null as string) and pk <> 'z'", explicit_nulls=True))) == ["b"]
+    assert keys(read_items(df, parse(spark, "null = x", explicit_nulls=True))) == ["b"]
+    assert read_items(df, None).count() == 7
+    assert classify(TableDef("h", "pk"), (attr("pk") == "b") & x.is_null()).explain() == "Query(hash='b', filter=x = NULL)"
+
+
 def test_nesting(spark):
     df = items(spark, {"pk": "a", "m": {"x": "y", "n": {"z": 1}}, "l": [10, 20, 30], "b": True}, {"pk": "b", "l": [1]})
     v = F.col("item")
