@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -31,6 +33,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Memory no longer used goes back to the system."""
+    _powers.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def released(run):
+    """run for mapInArrow, and then give_back: Python workers live on from task to task."""
+
+    def own(batches):
+        yield from run(batches)
+        give_back()
+
+    return own
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string or binary column, its n + 1 offsets, and which rows aren't null (null: no bytes)."""
     if isinstance(column, pa.ChunkedArray):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import pieces, released
 
 WINDOW = 512
 PIECE_BYTES = 2 << 20
@@ -180,8 +180,8 @@ def identify(docs: DataFrame, model: Model | None, schema: str = SCHEMA, keep=No
                     yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(names, pa.string()), pa.array(scores), pa.array(best, mask=np.isnan(best))], names=["doc_id", "lang_pred", "score", "phrase_rate"])
 
     if keep is not None:
-        return docs.mapInArrow(run, docs.schema)
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, schema)
+        return docs.mapInArrow(released(run), docs.schema)
+    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(released(run), schema)
 
 
 def train(docs: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Model | None:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, distinct, flat, mixed, packed, pieces, ragged, staged, word_hashes, word_spans
+from .common import U64, distinct, flat, mixed, packed, pieces, ragged, released, staged, word_hashes, word_spans
 from .components import components
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 80, 100
@@ -89,7 +89,7 @@ def sketched(docs: DataFrame) -> DataFrame:
             none = pa.nulls(len(at), pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(at, pa.int32()), packed([own[i].tobytes() for i in at])], names=names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, segment int, counts binary")
+    return docs.mapInArrow(released(run), "doc_id long, n long, k1 long, k2 long, segment int, counts binary")
 
 
 def summed(rows: DataFrame) -> np.ndarray:
@@ -104,7 +104,7 @@ def summed(rows: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.int32()), packed([np.minimum(x, 2**32 - 1).astype(np.uint32).tobytes() for x in own.values()])], names=["segment", "counts"])
 
     out = np.zeros(1 << SKETCH_BITS, np.uint32).reshape(-1, 1 << SEGMENT_BITS)
-    for r in rows.where("segment is not null").select("segment", "counts").repartition(len(out), "segment").mapInArrow(run, "segment int, counts binary").toLocalIterator():
+    for r in rows.where("segment is not null").select("segment", "counts").repartition(len(out), "segment").mapInArrow(released(run), "segment int, counts binary").toLocalIterator():
         out[r[0]] = np.frombuffer(r[1], np.uint32)
     return out.ravel()
 
@@ -127,7 +127,7 @@ def prefixes(docs: DataFrame, shared) -> DataFrame:
                 own = {fingerprint(s): s for s in shingle_sets(part.column("text")) if len(s)}
                 yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in own], pa.int64()), pa.array([k[1] for k in own], pa.int64()), pa.array([len(s) for s in own.values()], pa.int32()), packed([prefix(s, table).tobytes() for s in own.values()])], names=["k1", "k2", "n", "tokens"])
 
-    return docs.mapInArrow(run, "k1 long, k2 long, n int, tokens binary")
+    return docs.mapInArrow(released(run), "k1 long, k2 long, n int, tokens binary")
 
 
 def entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -164,7 +164,7 @@ def starred(sets: DataFrame, shared) -> DataFrame:
             token, row, pos, hr = token[keep], row[keep], pos[keep], row[hub][keep]
             yield pa.RecordBatch.from_arrays([pa.array(token.astype(np.int64)), pa.array(keys[row]), pa.array(n[row]), pa.array(pos), pa.array(keys[hr])], names=["token", "x", "n", "pos", "hub"])
 
-    found = staged(sets.select("k1", "n", "tokens").mapInArrow(run, "token long, x long, n long, pos long, hub long"), "join-stars")
+    found = staged(sets.select("k1", "n", "tokens").mapInArrow(released(run), "token long, x long, n long, pos long, hub long"), "join-stars")
     own = found.where("x = hub").select("token", "x", "n", "pos")
     best = own.groupBy("token").agg(F.min(F.struct("pos", "x", "n")).alias("h"), F.count(F.lit(1)).alias("lists")).where("lists > 1")
     need = f"({NUMERATOR} * (n + h.n) + {NUMERATOR + DENOMINATOR - 1}) div {NUMERATOR + DENOMINATOR}"
@@ -197,7 +197,7 @@ def marks(values: DataFrame) -> np.ndarray:
         return pa.RecordBatch.from_arrays([pa.array(list(own), pa.int32()), packed([x.tobytes() for x in own.values()])], names=["segment", "bits"])
 
     schema, out = "segment int, bits binary", np.zeros(1 << (MARK_BITS - 3), np.uint8).reshape(-1, 1 << (MARK_SEGMENT - 3))
-    for r in values.mapInArrow(send, schema).repartition(64, "segment").mapInArrow(meet, schema).toLocalIterator():
+    for r in values.mapInArrow(released(send), schema).repartition(64, "segment").mapInArrow(released(meet), schema).toLocalIterator():
         out[r[0]] = np.frombuffer(r[1], np.uint8)
     return out.ravel()
 
@@ -216,7 +216,7 @@ def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(is_marked(np.asarray(batch.column("doc_id"), dtype=np.int64), shared.value)))
 
-    texts = docs.where("doc_id is not null and text is not null").mapInArrow(named, "doc_id long, text string").hint("merge")
+    texts = docs.where("doc_id is not null and text is not null").mapInArrow(released(named), "doc_id long, text string").hint("merge")
     copies = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("c")).select("a", F.ceil(F.col("c") / SALT).cast("int").alias("salts"))
     members = pairs.join(copies, "a").withColumn("salt", F.pmod(F.xxhash64("b", "bk"), F.col("salts")).cast("int")).join(texts.withColumnRenamed("doc_id", "b"), "b").select("a", "ak", "salt", F.lit(1).alias("kind"), "b", "bk", "text")
     leaders = pairs.select("a", "ak").distinct().join(copies, "a").join(texts.withColumnRenamed("doc_id", "a"), "a").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select("a", "ak", "salt", F.lit(0).alias("kind"), F.col("a").alias("b"), F.col("ak").alias("bk"), "text")
@@ -245,7 +245,7 @@ def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                             b.append(pb)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return both.mapInArrow(released(run), "a long, b long").distinct()
 
 
 def live_lists(sets: DataFrame, parts: int) -> DataFrame:
@@ -298,7 +298,7 @@ def live_lists(sets: DataFrame, parts: int) -> DataFrame:
             live = token[first[np.minimum.reduceat(group, first) != np.maximum.reduceat(group, first)]]
             yield pa.RecordBatch.from_arrays([pa.array(live.astype(np.int64))], names=["live"])
 
-    return sets.select("tokens", "label").mapInArrow(send, "bucket int, tokens binary, groups binary").repartition(parts, "bucket").mapInArrow(meet, "live long")
+    return sets.select("tokens", "label").mapInArrow(released(send), "bucket int, tokens binary, groups binary").repartition(parts, "bucket").mapInArrow(released(meet), "live long")
 
 
 def list_pairs(n: np.ndarray, pos: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -375,8 +375,8 @@ def across_groups(sets: DataFrame, live: DataFrame, parts: int) -> DataFrame:
         if rest is not None:
             yield pairs_of(rest)
 
-    rows = sets.select("rep", "k1", "n", "label", "tokens").mapInArrow(send, "token long, x long, k long, n long, label long, pos long")
-    return rows.repartition(parts, "token").sortWithinPartitions("token").mapInArrow(meet, "a long, ak long, b long, bk long").distinct()
+    rows = sets.select("rep", "k1", "n", "label", "tokens").mapInArrow(released(send), "token long, x long, k long, n long, label long, pos long")
+    return rows.repartition(parts, "token").sortWithinPartitions("token").mapInArrow(released(meet), "a long, ak long, b long, bk long").distinct()
 
 
 def groups(docs: DataFrame) -> DataFrame:

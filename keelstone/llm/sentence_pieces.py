@@ -18,13 +18,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import pieces, ragged
+from .common import pieces, ragged, released
 from .trie import DoubleArray
 
 MARK = "▁".encode()
 UNKNOWN_PENALTY = 10.0
 SCALAR_FROM = 192
-KEPT_RUNS = 600_000
+KEPT_RUNS = 200_000
+PIECE_BYTES = 1 << 20
+LEARN_RUNS = 1 << 14
 SCHEMA = "doc_id long, ids array<int>, n_tokens int, n_bytes int, score double, decoded string, same boolean"
 
 
@@ -210,10 +212,10 @@ class Encoder:
         if new := list({r for r in runs if r not in number}):
             new.sort()
             marked = [r.replace(b" ", MARK) for r in new]
-            for a in range(0, len(new), 1 << 16):
+            for a in range(0, len(new), LEARN_RUNS):
                 start = len(number)
-                self.learn(marked[a : a + (1 << 16)])
-                for i, (r, m) in enumerate(zip(new[a : a + (1 << 16)], marked[a : a + (1 << 16)], strict=True)):
+                self.learn(marked[a : a + LEARN_RUNS])
+                for i, (r, m) in enumerate(zip(new[a : a + LEARN_RUNS], marked[a : a + LEARN_RUNS], strict=True)):
                     del number[m]
                     number[r] = start + i
         at = np.fromiter(map(number.__getitem__, runs), np.int64, len(runs))
@@ -238,17 +240,6 @@ def decode(ids: np.ndarray, counts: np.ndarray, v: Pieces) -> list[bytes]:
     return out
 
 
-_mine: dict[int, Encoder] = {}
-
-
-def encoder(shared) -> Encoder:
-    """This process's encoder for a broadcast vocabulary."""
-    if (key := id(shared.value)) not in _mine:
-        _mine.clear()
-        _mine[key] = Encoder(shared.value)
-    return _mine[key]
-
-
 def tokenize(docs: DataFrame, vocabulary: Pieces, results: bool = True) -> DataFrame:
     """Every row's doc_id, ids, n_tokens, n_bytes (ids of byte pieces), score (log), decoded, same (decoded is the text).
 
@@ -260,11 +251,11 @@ def tokenize(docs: DataFrame, vocabulary: Pieces, results: bool = True) -> DataF
     schema = SCHEMA if results else "doc_id long, n_tokens int, n_bytes int, score double, ids_crc32 long, text_crc32 long, same boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(shared)
+        own = Encoder(shared.value)
         v = own.v
         is_byte = np.array([k == "b" for k in v.kinds])
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE_BYTES):
                 texts = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
                 ids, counts, scores = own.encode(texts)
                 back = decode(ids, counts, v)
@@ -282,4 +273,4 @@ def tokenize(docs: DataFrame, vocabulary: Pieces, results: bool = True) -> DataF
                 names = [c.split()[0] for c in schema.split(", ")]
                 yield pa.RecordBatch.from_arrays([known[c] for c in names], names=names)
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, schema)
+    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(released(run), schema)
