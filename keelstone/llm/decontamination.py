@@ -7,6 +7,7 @@ threshold fits all items, and a retrieval with a fixed threshold finds everythin
 Per passage block-max WAND: no item can reach the threshold where the terms' maxima together don't, and none of a block of items where the
 maxima within the block don't; both are worked out for all passages of a batch at once. In the few that are left cursors over the
 posting lists skip by pivots and by the maxima of posting blocks. Retrieved items count only if enough of the question's word n-grams and of the answer's are in the passage.
+A question or answer of fewer words than GRAM is one n-gram of all its words, looked for among the passage's runs of as many words.
 """
 
 from __future__ import annotations
@@ -38,15 +39,19 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(data, starts, ends), before
 
 
-def grams(h: np.ndarray) -> np.ndarray:
-    """Hashes of the runs of GRAM words; of fewer words, the run of all."""
-    n = min(GRAM, len(h))
-    out = np.zeros(max(0, len(h) - n + 1) if n else 0, U64)
-    for j in range(n):
+def grams(h: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of n words; none where there are fewer."""
+    out = np.zeros(len(h) - n + 1 if 0 < n <= len(h) else 0, U64)
+    for j in range(n if len(out) else 0):
         out = mixed(out * U64(0x9E3779B97F4A7C15) + h[j : len(h) - n + 1 + j])
     return out
 
 
+def gram_size(h: np.ndarray) -> int:
+    """Words in the runs by which these words are compared: GRAM, or all of a part that is shorter."""
+    return min(GRAM, len(h))
+
+
 def question_and_answer(text: str) -> tuple[str, str]:
     """The last sentence is the answer, what stands before it the question; a single sentence is both."""
     cut = [m.end() for m in re.finditer(r"[.!?:]\s+|\n+", text.strip())]
@@ -56,7 +61,10 @@ def question_and_answer(text: str) -> tuple[str, str]:
 
 @dataclass
 class Index:
-    """Postings over item numbers: terms (sorted hashes), for each its items, impacts, greatest impact and block maxima."""
+    """Postings over item numbers: terms (sorted hashes), for each its items, impacts, greatest impact and block maxima.
+
+    Of each item's question and answer: the words in a run, and the hashes of its runs.
+    """
 
     ids: list
     terms: np.ndarray
@@ -65,8 +73,8 @@ class Index:
     largest: np.ndarray
     block_largest: list
     stride: int
-    question: list[np.ndarray]
-    answer: list[np.ndarray]
+    question: list[tuple[int, np.ndarray]]
+    answer: list[tuple[int, np.ndarray]]
 
     def __post_init__(self):
         """Maxima of each term within blocks of items."""
@@ -162,7 +170,7 @@ def build(rows: list[tuple], n: int | None = None, average: float | None = None,
     items, impacts = np.split(item[order], cuts), np.split(impact[order], cuts)
     blocks = [np.maximum.reduceat(x, np.arange(0, len(x), POSTING_BLOCK)) for x in impacts]
     parts = [question_and_answer(t) for _, t, _ in rows]
-    part = lambda i: [distinct(grams(words_of(pa.array([p[i]]))[0])) for p in parts]
+    part = lambda i: [(gram_size(h), distinct(grams(h, gram_size(h)))) for h in (words_of(pa.array([p[i]]))[0] for p in parts)]
     return Index([i for i, *_ in rows], terms, items, impacts, np.array([x.max() for x in impacts]), blocks, max(len(x) for *_, x in rows), part(0), part(1))
 
 
@@ -194,6 +202,15 @@ def indexes(items: DataFrame, bound: int = INDEX_BYTES) -> Iterator[Index]:
         yield from [index] if index else []
 
 
+def _share(n: int, own: np.ndarray, passage: np.ndarray, here: dict[int, np.ndarray]) -> float:
+    """The share of the runs of n words that the passage holds, all where a part has no word; here: the passage's runs by their words."""
+    if not n:
+        return 1.0
+    if n not in here:
+        here[n] = grams(passage, n)
+    return float(np.isin(own, here[n]).mean())
+
+
 def search(part: pa.RecordBatch, index: Index, threshold: float, overlap: float) -> dict[tuple[int, int], tuple[float, float, float, int]]:
     """For (row, item number) of the part that is contaminated its best passage: score, overlaps, first word."""
     h, before = words_of(part.column("text"))
@@ -233,9 +250,10 @@ def search(part: pa.RecordBatch, index: Index, threshold: float, overlap: float)
             continue
         r = int(own_row[s])
         start = int(before[r]) + (s - int(first[r])) * index.stride
-        here = grams(h[start : min(start + 2 * index.stride, int(before[r + 1]))])
+        passage = h[start : min(start + 2 * index.stride, int(before[r + 1]))]
+        here: dict[int, np.ndarray] = {}
         for item, score in found:
-            q, a = (float(np.isin(g[item], here).mean()) for g in (index.question, index.answer))
+            q, a = (_share(*g[item], passage, here) for g in (index.question, index.answer))
             if q >= overlap and a >= overlap and (min(q, a), score) > (lambda x: (min(x[1], x[2]), x[0]))(out.get((r, item), (0.0, -1.0, -1.0, 0))):
                 out[r, item] = (score, q, a, start - int(before[r]))
     return out

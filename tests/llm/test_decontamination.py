@@ -74,6 +74,27 @@ def test_planted(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({d for d, *_ in docs} - {d for d, _ in want} | {500, 501, 502})
 
 
+def test_short_questions_and_answers(spark):
+    rng = random.Random(7)
+    words = vocabulary(rng, 4000)
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    sizes = [*((q, a) for q in (1, 2, 3, 4, 5, 20) for a in (1, 2, 3, 4, 5, 20)), (12, 0)]
+    items = [(i, f"{text(q)}? {text(a) or '__'}.") for i, (q, a) in enumerate(sizes)]
+    docs, want = [], set()
+    for i, (q, a) in enumerate(sizes):
+        docs.append((i, f"{text(200)} {items[i][1]} {text(200)}", ""))
+        want.add((i, i))
+        own = items[i][1].split()
+        if q >= 2 and a >= 2:  # the words are there, but not the question's and the answer's order
+            docs.append((100 + i, f"{text(30)} {' '.join(reversed(own))} {text(30)}", ""))
+        docs += [(300 + i, " ".join(own[:4]), ""), (400 + i, " ".join(own[1:4]), "")]  # shorter than a run of five
+        docs.append((200 + i, f"{text(30)} {' '.join(own[:q])} {text(30)}" if a >= q else text(60), ""))
+    frame, bench = spark.createDataFrame(docs, DOCS), spark.createDataFrame([(*x, 1) for x in items], ITEMS)
+    got = {(r.doc_id, r.item_id) for r in dc.contaminated(frame, bench).collect()}
+    assert want <= got and not {d for d, i in got - want if 100 <= d < 300 and min(sizes[i]) >= 2}
+    assert not {r.doc_id for r in dc.clean(frame, bench).collect()} & {d for d, _ in want}
+
+
 def test_odd_tables(spark):
     none, items = spark.createDataFrame([], DOCS), spark.createDataFrame([], ITEMS)
     one, item = spark.createDataFrame([(1, "a b c", "")], DOCS), spark.createDataFrame([(1, "a b c", 0)], ITEMS)
