@@ -1,6 +1,7 @@
 """Licence scans: a sparse logistic regression over word n-grams names a paragraph's licence family, template comparison confirms it.
 
-Paragraphs are lines; longer ones are read in windows. Features are the words and word pairs of the templates, so a paragraph without
+Paragraphs are lines; longer ones are read in windows. Notices wrapped over lines are found by the places of a template's pairs,
+wherever lines end, and read with words on either side. Features are the words and word pairs of the templates, so a paragraph without
 any pair of them has the same outcome as an empty one, unknown. The model is trained on templates that are cut, thinned and set
 among corpus words, against corpus lines and templates out of order; the unknown class is calibrated by a temperature fitted on
 examples that training didn't see. A prediction counts if a share of the pairs of one of the family's templates stands in the paragraph.
@@ -34,7 +35,7 @@ TEMPLATES = {
 OTHERS = ["You need a driving license to rent a car", "The license plate was issued in 2004", "He released the MIT study under his own name", "The public was granted free admission to this work", "All rights reserved", "version 2.0 of the file was released"]
 UNKNOWN = "unknown"
 WINDOW, CORPUS_LINES, ROUNDS = 48, 1500, 400
-CHANCE, LIKENESS = 0.5, 0.7
+CHANCE, LIKENESS, SPREAD, NEIGHBOURS = 0.5, 0.7, 2, 6
 SCHEMA = "doc_id long, family string, probability double, likeness double, n_paragraphs long, first_line long"
 
 
@@ -82,6 +83,45 @@ class Classifier:
         return self.families[k], float(p[best, k]), like
 
 
+    def notices(self, h: np.ndarray, row: np.ndarray, places: np.ndarray, chance: float, likeness: float) -> Iterator[tuple[str, float, float, int, int]]:
+        """Family, chance, likeness, first and last word of every notice in words h, wherever its lines end. places: of all pairs of templates.
+
+        A notice holds the share `likeness` of a template's pairs within SPREAD times its words and WINDOW more, in one row, and is read with
+        the word before and the word after it, or cut to that share with NEIGHBOURS words on either side: a name may go on there.
+        """
+        own = mixed(h[places] * U64(0x9E3779B97F4A7C15) + h[places + 1])
+        for family, templates in self.templates.items():
+            for t in templates:
+                spot = np.searchsorted(t, own)
+                spot[spot == len(t)] = 0
+                here = t[spot] == own
+                at, kind = places[here], spot[here]
+                least, reach = max(1, int(np.ceil(likeness * len(t) - 1e-9))), SPREAD * len(t) + WINDOW
+                if len(at) < least:
+                    continue
+                near = at[least - 1 :] - at[: len(at) - least + 1] <= reach
+                past = -1
+                for i in np.flatnonzero(near & (row[at[least - 1 :]] == row[at[: len(at) - least + 1]])).tolist():
+                    if i <= past:
+                        continue
+                    end = int(np.searchsorted(at, at[i] + reach, "right"))
+                    end = i + int((row[at[i:end]] == row[at[i]]).sum())
+                    _, new = np.unique(kind[i:end], return_index=True)
+                    if len(new) < least:
+                        continue
+                    for j, more in ((i + int(new.max()), 1), (i + int(np.sort(new)[least - 1]), NEIGHBOURS)):  # all of it, or no more than counts
+                        _, last = np.unique(kind[i : j + 1][::-1], return_index=True)
+                        a, b = int(at[j - int(last.max())]), int(at[j]) + 2
+                        around = np.arange(max(0, a - more), min(len(h), b + more))
+                        around = around[row[around] == row[a]]
+                        c = chances((self.features(h[around]) @ self.weights / self.temperature)[None])[0]
+                        k = int(c[1:].argmax()) + 1
+                        if self.families[k] == family and c[k] >= chance:
+                            yield family, float(c[k]), len(last) / len(t), a, b - 1
+                            past = j
+                            break
+
+
 def chances(x: np.ndarray) -> np.ndarray:
     x = np.exp(x - x.max(1, keepdims=True))
     return x / x.sum(1, keepdims=True)
@@ -133,11 +173,20 @@ def sample(docs: DataFrame, lines: int = CORPUS_LINES) -> list[str]:
     return sorted(r[0] for r in some.where(drawn <= min(1.0, lines / max(1, n))).select(F.substring(line, 1, 400)).collect())
 
 
+def paragraphs(spans: list[tuple[int, int]]) -> tuple[int, int]:
+    """How many runs of lines there are, those that share a line taken as one, and the first line of all."""
+    count, end = 0, -1
+    for a, b in sorted(spans):
+        count += a > end
+        end = max(end, b)
+    return count, min(spans)[0]
+
+
 def scan(docs: DataFrame, model: Classifier, chance: float = CHANCE, likeness: float = LIKENESS) -> DataFrame:
     """doc_id, family, probability, likeness, n_paragraphs, first_line (from 0) of every row and every licence family that a paragraph of it names.
 
-    A paragraph names a family if its calibrated chance is `chance` or more and the paragraph holds the share `likeness` of the pairs of one of
-    the family's templates. Whole texts are read. Null and empty texts name none; rows may repeat, ids may be null; only doc_id, text are read.
+    A paragraph is a line, or the lines over which a notice is wrapped. It names a family if its calibrated chance is `chance` or more and the
+    paragraph holds the share `likeness` of the pairs of one of the family's templates; wrapped, within SPREAD times its words and WINDOW more. Whole texts are read. Null and empty texts name none; rows may repeat, ids may be null; only doc_id, text are read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -153,21 +202,31 @@ def scan(docs: DataFrame, model: Classifier, chance: float = CHANCE, likeness: f
                 breaks = np.flatnonzero(data == 10)
                 line = np.searchsorted(breaks, starts) + row  # rows end lines too
                 found: dict[tuple[int, str], list] = {}
+
+                def add(family: str, sure: float, like: float, a: int, b: int, row=row, line=line, found=found):
+                    f = found.setdefault((int(row[a]), family), [0.0, 0.0, []])
+                    f[:2] = max(f[0], sure), max(f[1], like)
+                    f[2].append((int(line[a]), int(line[b])))
+
                 if len(h) > 1:
                     p = pairs(h)
                     spot = np.searchsorted(heads, p)
                     spot[spot == len(heads)] = 0
-                    hit = (heads[spot] == p) & (line[1:] == line[:-1])
+                    known = (heads[spot] == p) & (row[1:] == row[:-1])
+                    hit = known & (line[1:] == line[:-1])
                     for n in distinct(line[:-1][hit]).tolist():
                         a, b = np.searchsorted(line, [n, n + 1])
                         family, sure, like = own.predict(h[a:b])
                         if sure >= chance and like >= likeness:
-                            r = int(row[a])
-                            number = n - r - int(np.searchsorted(breaks, at[r]))
-                            f = found.setdefault((r, family), [sure, like, 0, number])
-                            f[:] = [max(f[0], sure), max(f[1], like), f[2] + 1, f[3]]
+                            add(family, sure, like, a, a)
+                    for family, sure, like, a, b in own.notices(h, row, np.flatnonzero(known), chance, likeness):
+                        if line[a] < line[b]:
+                            add(family, sure, like, a, b)
                 ids = part.column("doc_id")
-                rows = [(ids[r].as_py(), k, *v) for (r, k), v in sorted(found.items())]
+                rows = []
+                for (r, k), (sure, like, spans) in sorted(found.items()):
+                    count, first = paragraphs(spans)
+                    rows.append((ids[r].as_py(), k, sure, like, count, first - r - int(np.searchsorted(breaks, at[r]))))
                 kinds = [pa.int64(), pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in rows], kind) for j, kind in enumerate(kinds)], names=[c.split()[0] for c in SCHEMA.split(", ")])
 

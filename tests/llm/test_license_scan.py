@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 from keelstone.llm import license_scan as ls
 
@@ -28,6 +29,21 @@ def test_scan(spark):
     assert ls.sample(spark.createDataFrame([], SCHEMA)) == []
 
 
+def test_wrapped_notices(spark):
+    model = ls.train(lines(500, 1))
+    body = lines(60, 2)
+    rows, want = [], set()
+    for i, (family, text) in enumerate((k, t) for k, ts in ls.TEMPLATES.items() for t in ts):
+        for j, (width, mark) in enumerate(((70, ""), (70, " * "), (70, "\n"), (30, "# "), (12, ""))):
+            own = [mark + x for x in textwrap.wrap(text, width, break_on_hyphens=False, break_long_words=False)]
+            rows.append((10 * i + j, "\n".join([body[i], *own, body[i + 1]]), "x"))
+            want.add((10 * i + j, family, 1, 2 if mark == "\n" else 1))
+    got = ls.scan(spark.createDataFrame(rows, SCHEMA), model).collect()
+    assert {(r.doc_id, r.family, r.n_paragraphs, r.first_line) for r in got} == want and len(got) == len(want)
+    twice = "\n".join(textwrap.wrap(ls.TEMPLATES["MIT"][2], 70) * 2)
+    assert [(r.family, r.n_paragraphs, r.first_line) for r in ls.scan(spark.createDataFrame([(1, twice, "")], SCHEMA), model).collect()] == [("MIT", 2, 0)]
+
+
 def test_unseen_changes_and_unknown_text():
     model = ls.train(lines(500, 1))
     rng = random.Random(9)
