@@ -1,6 +1,6 @@
 """Licence scans: a sparse logistic regression over word n-grams names a paragraph's licence family, template comparison confirms it.
 
-Paragraphs are lines; longer ones are read in windows. Notices wrapped over lines are found by the places of a template's pairs,
+Paragraphs are lines; longer ones are read in windows. Wrapped notices and several in one line are found by the places of a template's pairs,
 wherever lines end, and read with words on either side. Features are the words and word pairs of the templates, so a paragraph without
 any pair of them has the same outcome as an empty one, unknown. The model is trained on templates that are cut, thinned and set
 among corpus words, against corpus lines and templates out of order; the unknown class is calibrated by a temperature fitted on
@@ -185,8 +185,8 @@ def paragraphs(spans: list[tuple[int, int]]) -> tuple[int, int]:
 def scan(docs: DataFrame, model: Classifier, chance: float = CHANCE, likeness: float = LIKENESS) -> DataFrame:
     """doc_id, family, probability, likeness, n_paragraphs, first_line (from 0) of every row and every licence family that a paragraph of it names.
 
-    A paragraph is a line, or the lines over which a notice is wrapped. It names a family if its calibrated chance is `chance` or more and the
-    paragraph holds the share `likeness` of the pairs of one of the family's templates; wrapped, within SPREAD times its words and WINDOW more. Whole texts are read. Null and empty texts name none; rows may repeat, ids may be null; only doc_id, text are read.
+    A paragraph is a line, or the lines over which a notice is wrapped; it may name several families. It names one if its calibrated chance is `chance` or more and the
+    paragraph holds the share `likeness` of the pairs of one of the family's templates: a line's surest family in the whole line, all others within SPREAD times its words and WINDOW more. Whole texts are read. Null and empty texts name none; rows may repeat, ids may be null; only doc_id, text are read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -220,8 +220,7 @@ def scan(docs: DataFrame, model: Classifier, chance: float = CHANCE, likeness: f
                         if sure >= chance and like >= likeness:
                             add(family, sure, like, a, a)
                     for family, sure, like, a, b in own.notices(h, row, np.flatnonzero(known), chance, likeness):
-                        if line[a] < line[b]:
-                            add(family, sure, like, a, b)
+                        add(family, sure, like, a, b)
                 ids = part.column("doc_id")
                 rows = []
                 for (r, k), (sure, like, spans) in sorted(found.items()):

@@ -44,6 +44,19 @@ def test_wrapped_notices(spark):
     assert [(r.family, r.n_paragraphs, r.first_line) for r in ls.scan(spark.createDataFrame([(1, twice, "")], SCHEMA), model).collect()] == [("MIT", 2, 0)]
 
 
+def test_several_notices_in_one_line(spark):
+    model = ls.train(lines(500, 1))
+    body = lines(60, 2)
+    every = [(k, t) for k, ts in ls.TEMPLATES.items() for t in ts]
+    rows, want = [], set()
+    for i, (family, text) in enumerate(every):
+        for j, (other, second) in enumerate((every[(i + 5) % len(every)], every[(i + 9) % len(every)])):
+            rows.append((10 * i + j, " ".join([body[i], text, *body[20:24], second, body[i + 1]]), ""))
+            want |= {(10 * i + j, k, 1, 0) for k in (family, other)}
+    got = ls.scan(spark.createDataFrame(rows, SCHEMA), model).collect()
+    assert {(r.doc_id, r.family, r.n_paragraphs, r.first_line) for r in got} == want and len(got) == len(want)
+
+
 def test_unseen_changes_and_unknown_text():
     model = ls.train(lines(500, 1))
     rng = random.Random(9)
