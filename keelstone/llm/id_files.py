@@ -1,11 +1,11 @@
 """Token ids in compressed, independently decodable blocks.
 
-A block holds BLOCK ids. Each id is coded by an adaptive range coder in up to three choices: is it the id that last followed the two ids
-before it (order 2); if not, is it the id that last followed the one before it (order 1); if not, which of the 68 classes of the
-order-0 model it falls in, and its remaining bits. The order-0 table follows its counts every REFRESH ids, and after the first 1, 2,
-4 ... ids. The chance that an order's prediction holds mixes two adaptive estimates, one per count of hits of this context and one per
-outcome of the last choices. All blocks of a batch are coded side by side, one array step for each id, and every block starts with
-fresh models. A block carries the CRC-32 of its ids; a reader checks it.
+A block holds up to BLOCK ids. Each id is coded by an adaptive range coder with one chance, mixed of three predictions: the id that last
+followed the two ids before it (order 2), the id that last followed the one before it (order 1), and the frequencies of the block so
+far (order 0), in which there are also places for a new id and for one that has come up since the table was last made. The weights
+of the three are learned: for each pair of hit runs of the two contexts they follow the outcomes so far. Tables and weights are made anew
+whenever a block has grown by a quarter. All blocks of a batch are coded side by side, some array steps for each id, and
+every block starts with fresh models. A block carries the CRC-32 of its ids; a reader checks it.
 
 Files are Parquet rows with binary payloads, so they can lie in any store that Spark writes to.
 """
@@ -13,8 +13,11 @@ Files are Parquet rows with binary payloads, so they can lie in any store that S
 from __future__ import annotations
 
 import os
+import re
+import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,255 +25,328 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, pieces, ragged, shared_dir
-
-BLOCK, CONTEXTS, CLASSES, END = 4096, 1 << 12, 68, 2
-REFRESH = 32
-FILE_IDS = 4_000_000
-KEPT_RUNS = 400_000
-U32 = np.uint32
-TOP = U64(1 << 32)
+from .common import pieces, ragged, shared_dir
+
+#: Ids in a block at most, values an id can have, slots of the order-0 table and its most entries, parts of the coder's interval, states of the mixer.
+BLOCK, ID_BITS, SLOT_BITS, LISTED, TOTAL, STATES, END = 4096, 18, 12, 1500, 1 << 24, 32, 2
+SLOTS, CONTEXTS = 1 << SLOT_BITS, 1 << 10
+NEW, OLD, SPAN_BITS = 0, 1, 13
+SPAN = (1 << SPAN_BITS) - 1
+LOW, WORD = (1 << 31) - 1, 32
+FILE_IDS, SORTED = 6_000_000, 1 << 20
+KEPT_RUNS = 600_000
+JOINED = 256
 SCHEMA = "part int, seq int, doc_ids array<long>, counts array<int>, before long, blocks array<binary>, sums array<long>"
 
 
-class Models:
-    """Adaptive state of `lanes` blocks coded side by side."""
-
-    def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.next = [np.zeros((lanes, CONTEXTS), np.int32) for _ in range(2)]
-        self.hits = [np.zeros((lanes, CONTEXTS), np.uint8) for _ in range(2)]
-        self.by_hits = [np.full((lanes, 4), 0.5, np.float32) for _ in range(2)]
-        self.by_past = [np.full((lanes, 4), 0.5, np.float32) for _ in range(2)]
-        self.past = np.zeros(lanes, np.int64)
-        self.freq = np.ones((lanes, CLASSES), np.int32)
-        self.table = scaled(self.freq)
-        self.last = np.zeros((2, lanes), np.int64)
-
-    def contexts(self) -> list[np.ndarray]:
-        a, b = self.last
-        return [(b * 40503 + a * 60493 + (a >> 5)) % CONTEXTS, (b * 2654435761 >> 7) % CONTEXTS]
-
-    def chance(self, order: int, context: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """The mixed chance of a hit in 1/4096, 1 to 4095."""
-        own = 0.5 * (self.by_hits[order][rows, self.hits[order][rows, context]] + self.by_past[order][rows, self.past[rows]])
-        return np.clip((own * 4096).astype(np.int64), 1, 4095)
-
-    def learn(self, order: int, context: np.ndarray, rows: np.ndarray, hit: np.ndarray):
-        for table, at in ((self.by_hits[order], self.hits[order][rows, context]), (self.by_past[order], self.past[rows])):
-            table[rows, at] += (hit - table[rows, at]) * np.float32(0.05)
-        h = self.hits[order][rows, context]
-        self.hits[order][rows, context] = np.where(hit, np.minimum(h + 1, 3), 0)
-
-    def take(self, rows: np.ndarray, ids: np.ndarray, contexts: list[np.ndarray], past: np.ndarray):
-        for order in range(2):
-            self.next[order][rows, contexts[order][rows]] = ids + 1
-        self.past[rows] = past
-        self.last[0, rows], self.last[1, rows] = self.last[1, rows], ids
-
-    def count(self, rows: np.ndarray, classes: np.ndarray):
-        self.freq[rows, classes] += 24
-
-    def refresh(self, rows: np.ndarray):
-        """The order-0 table follows the counts from here on."""
-        full = rows[self.freq[rows].sum(1) > 60_000]
-        if len(full):
-            self.freq[full] = (self.freq[full] + 1) >> 1
-        self.table[rows] = scaled(self.freq[rows])
-
-
-def class_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class, number of remaining bits and remaining bits: below 4 each id is a class, above four classes for each power of two."""
-    power = np.maximum(np.log2(np.maximum(ids, 1).astype(np.float64)).astype(np.int64), 2)
-    bits = power - 2
-    return np.where(ids < 4, ids, 4 * (power - 1) + (ids >> bits) - 4), np.where(ids < 4, 0, bits), np.where(ids < 4, 0, ids & ((1 << bits) - 1))
-
-
-def from_class(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First id of a class and its number of remaining bits."""
-    power = np.maximum(c // 4 + 1, 2)
-    bits = np.where(c < 4, 0, power - 2)
-    return np.where(c < 4, c, (4 + c % 4) << bits), bits
-
-
 class Writer:
-    """Carryless range coders, one for each lane."""
+    """Range coders, one for each lane: low and range have 63 bits and give words of 32; carries are added to the words at the end."""
 
     def __init__(self, lanes: int, room: int):
-        self.low, self.range = np.zeros(lanes, U64), np.full(lanes, 0xFFFFFFFF, U64)
-        self.out, self.n = np.zeros((lanes, room), np.uint8), np.zeros(lanes, np.int64)
-
-    def code(self, rows: np.ndarray, start: np.ndarray, size: np.ndarray, bits: np.ndarray | int):
-        r = self.range[rows] >> np.asarray(bits, U64)
-        self.low[rows] += r * start.astype(U64)
-        self.range[rows] = r * size.astype(U64)
-        self.shift(rows)
-
-    def shift(self, rows: np.ndarray):
-        low, rng = self.low, self.range
-        while len(rows):
-            same = ((low[rows] ^ (low[rows] + rng[rows])) & U64(0xFFFFFFFF)) < U64(1 << 24)
-            small = ~same & (rng[rows] < U64(1 << 16))
-            cut = rows[small]
-            rng[cut] = (~low[cut] + U64(1)) & U64(0xFFFF)
-            rng[cut[rng[cut] == 0]] = U64(1 << 16)
-            rows = rows[same | small]
-            self.out[rows, self.n[rows]] = ((low[rows] >> U64(24)) & U64(255)).astype(np.uint8)
-            self.n[rows] += 1
-            low[rows] = (low[rows] << U64(8)) & U64(0xFFFFFFFF)
-            rng[rows] <<= U64(8)
+        self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, (1 << 63) - 1, np.int64)
+        self.room, self.n = room, np.arange(lanes) * room
+        self.words = np.zeros(lanes * room, np.int64)
+
+    def code(self, rows: slice | np.ndarray, r: np.ndarray, start: np.ndarray, size: np.ndarray | int):
+        low, rng = self.low[rows] + start * r, size * r
+        if (over := np.flatnonzero(low < 0)).size:
+            self.words[self.n[rows][over] - 1] += 1
+            low[over] &= (1 << 63) - 1
+        if (small := np.flatnonzero(rng <= LOW)).size:
+            at = np.arange(len(self.n))[rows][small]
+            self.words[self.n[at]] = low[small] >> 31
+            self.n[at] += 1
+            low[small] = (low[small] & LOW) << WORD
+            rng[small] <<= WORD
+        self.low[rows], self.range[rows] = low, rng
 
     def finish(self) -> list[bytes]:
-        for shift in (24, 16, 8, 0):
-            self.out[np.arange(len(self.n)), self.n] = ((self.low >> U64(shift)) & U64(255)).astype(np.uint8)
+        for _ in range(2):
+            self.words[self.n] = self.low >> 31
+            self.low = (self.low & LOW) << WORD
             self.n += 1
-        return [o[:n].tobytes() for o, n in zip(self.out, self.n.tolist(), strict=True)]
+        words = self.words.reshape(-1, self.room)
+        sizes = self.n - np.arange(len(words)) * self.room
+        over = np.zeros(len(words), np.int64)
+        for i in range(int(sizes.max(initial=0)) - 1, -1, -1):
+            words[:, i] += over
+            over = words[:, i] >> WORD
+        raw = (words & ((1 << WORD) - 1)).astype("<u4")
+        return [w[:n].tobytes() for w, n in zip(raw, sizes.tolist(), strict=True)]
 
 
 class Reader:
     def __init__(self, blocks: list[bytes]):
-        width = max(map(len, blocks)) + 16
-        self.data = np.zeros((len(blocks), width), np.uint8)
+        width = max(map(len, blocks)) // 4 + 3
+        self.words = np.zeros((len(blocks), width), np.int64)
         for i, b in enumerate(blocks):
-            self.data[i, : len(b)] = np.frombuffer(b, np.uint8)
-        self.low, self.range = np.zeros(len(blocks), U64), np.full(len(blocks), 0xFFFFFFFF, U64)
-        first = self.data[:, :4].astype(U64)
-        self.value = first[:, 0] << U64(24) | first[:, 1] << U64(16) | first[:, 2] << U64(8) | first[:, 3]
-        self.n = np.full(len(blocks), 4)
-
-    def at(self, rows: np.ndarray, bits: np.ndarray | int) -> np.ndarray:
-        """Where in 0 to 2 ** bits the coded number lies."""
-        bits = np.asarray(bits, U64)
-        r = self.range[rows] >> bits
-        return np.minimum((self.value[rows] - self.low[rows]) // r, (U64(1) << bits) - U64(1)).astype(np.int64)
-
-    def drop(self, rows: np.ndarray, start: np.ndarray, size: np.ndarray, bits: np.ndarray | int):
-        r = self.range[rows] >> np.asarray(bits, U64)
-        self.low[rows] += r * start.astype(U64)
-        self.range[rows] = r * size.astype(U64)
-        low, rng = self.low, self.range
-        while len(rows):
-            same = ((low[rows] ^ (low[rows] + rng[rows])) & U64(0xFFFFFFFF)) < U64(1 << 24)
-            small = ~same & (rng[rows] < U64(1 << 16))
-            cut = rows[small]
-            rng[cut] = (~low[cut] + U64(1)) & U64(0xFFFF)
-            rng[cut[rng[cut] == 0]] = U64(1 << 16)
-            rows = rows[same | small]
-            self.value[rows] = ((self.value[rows] << U64(8)) & U64(0xFFFFFFFF)) | self.data[rows, np.minimum(self.n[rows], self.data.shape[1] - 1)].astype(U64)
-            self.n[rows] += 1
-            low[rows] = (low[rows] << U64(8)) & U64(0xFFFFFFFF)
-            rng[rows] <<= U64(8)
-
-
-def scaled(freq: np.ndarray) -> np.ndarray:
-    """Cumulative frequencies [lane, class + 1] scaled to 2 ** 16, each class at least 1."""
-    sums = np.cumsum(freq, 1, dtype=np.int64)
-    out = np.zeros((len(freq), CLASSES + 1), np.int64)
-    out[:, 1:] = sums * ((1 << 16) - CLASSES) // sums[:, -1:] + np.arange(1, CLASSES + 1)
-    return out
+            own = np.frombuffer(b, "<u4")
+            self.words[i, : len(own)] = own
+        self.words, self.n = self.words.ravel(), np.arange(len(blocks)) * width
+        self.last = self.n + width - 1
+        self.value, self.range = self.words[self.n] << 31 | self.words[self.n + 1] >> 1, np.full(len(blocks), (1 << 63) - 1, np.int64)
+        self.rest = self.words[self.n + 1] & 1  # words come 32 bits at a time, the first value has 63
+        self.n += 2
+
+    def code(self, rows: slice | np.ndarray, r: np.ndarray, start: np.ndarray, size: np.ndarray | int):
+        value, rng = self.value[rows] - start * r, size * r
+        if (small := np.flatnonzero(rng <= LOW)).size:
+            at = np.arange(len(self.n))[rows][small]
+            word = self.words[np.minimum(self.n[at], self.last[at])]
+            value[small] = value[small] << WORD | self.rest[at] << 31 | word >> 1
+            self.rest[at] = word & 1
+            self.n[at] += 1
+            rng[small] <<= WORD
+        self.value[rows], self.range[rows] = value, rng
+
+
+class Models:
+    """What `lanes` blocks coded side by side have learned: followers of contexts, an order-0 table, weights of the three orders.
 
+    Ids go by the order in which they first occur in their block. spans[lane, symbol]: place and size of NEW, OLD and every listed id among SLOTS;
+    slots: the symbol at each place. Counts and outcomes of a run of steps come in with `refresh`.
+    """
 
-def code(coder: Writer | Reader, sizes: np.ndarray, known: np.ndarray | None) -> np.ndarray:
-    """Codes the ids known [lane, step], or reads them: the same models step by step."""
+    def __init__(self, lanes: int, reading: bool):
+        self.lanes, self.reading = lanes, reading
+        self.after = [np.zeros(lanes * n, np.uint16) for n in (CONTEXTS, BLOCK)]
+        self.spans = np.zeros((lanes, BLOCK + 2), np.int32)
+        self.slots = np.zeros(lanes * SLOTS if reading else 0, np.uint16)
+        self.counts = np.zeros((lanes, BLOCK), np.int32)
+        self.kinds, self.listed, self.olds, self.kinds_before = (np.zeros(lanes, np.int64) for _ in range(4))
+        state = np.arange(STATES)
+        one = 0.3 * np.stack([1 + (state >> 2 & 3), np.where(state < 16, 1 + (state & 3), 0), np.full(STATES, 3.3)], 1)
+        self.outcomes = np.tile(one, (lanes, 1))
+        self.weights = np.zeros(lanes * STATES, np.int64)  # of order 2 and, 24 bits lower, of order 1; order 0 has the rest
+
+    def refresh(self, seen: np.ndarray, outcomes: np.ndarray):
+        """Learns from the ids and outcomes [step, lane] since the last time."""
+        steps, lanes = len(seen), self.lanes
+        if steps:
+            width, lane = int(self.kinds.max()), np.arange(lanes)
+            self.counts[:, :width] += np.bincount((seen + lane * width).ravel(), minlength=lanes * width).reshape(lanes, width)
+            self.outcomes += np.bincount((outcomes + lane * (3 * STATES)).ravel(), minlength=lanes * 3 * STATES).reshape(-1, 3)
+            share = (TOTAL - (1 << 17)) / self.outcomes.sum(1)
+            w2, w1 = ((self.outcomes[:, i] * share).astype(np.int64) for i in range(2))
+            self.weights = w2 << 24 | w1
+        self.listed = np.minimum(self.kinds, LISTED)
+        new = np.clip(SLOTS * (self.kinds - self.kinds_before) // max(steps, 1), 1, SLOTS // 4) if steps else np.full(lanes, SLOTS - 1)
+        old = np.clip(SLOTS * self.olds // max(steps, 1), 1, SLOTS // 8)
+        self.kinds_before, self.olds = self.kinds.copy(), np.zeros(lanes, np.int64)
+        width = int(self.listed.max())
+        sizes = np.zeros((lanes, width + 2), np.int64)
+        sizes[:, 0], sizes[:, 1] = new, old
+        if width:
+            own = self.counts[:, :width]
+            sums = np.cumsum(own, 1, dtype=np.int64)
+            places = sums * (SLOTS - new - old - self.listed)[:, None] // sums[:, -1:]
+            sizes[:, 2:] = (own > 0) * 1
+            sizes[:, 2] += places[:, 0]
+            sizes[:, 3:] += np.diff(places, axis=1)
+        self.spans[:, : width + 2] = np.where(sizes > 0, (np.cumsum(sizes, 1) - sizes) << SPAN_BITS | sizes, 0)
+        if self.reading:
+            self.slots = np.repeat(np.tile(np.arange(width + 2, dtype=np.uint16), lanes), sizes.ravel())
+
+
+def code(coder: Writer | Reader, sizes: np.ndarray, known: np.ndarray | None = None, names: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Codes the ids known [step, lane] with their names [lane, id], or reads both: the same models step by step. sizes: descending, one apart at most."""
     reading = known is None
-    lanes, steps = len(sizes), int(sizes.max(initial=0))
-    ids = np.zeros((lanes, steps), np.int64) if reading else known
-    m = Models(lanes)
-    order = np.argsort(-sizes, kind="stable")
-    alive = np.searchsorted(-sizes[order], -np.arange(steps), "left")
+    lanes, steps = len(sizes), int(sizes[0])
+    ids = np.zeros((steps, lanes), np.uint16) if reading else known
+    names = np.zeros(lanes * BLOCK, np.int64) if reading else names.ravel()
+    m = Models(lanes, reading)
+    outcomes = np.zeros((steps, lanes), np.uint8)
+    lane = np.arange(lanes)
+    at_block, at_span, at_slot, at_state, at_two = lane * BLOCK, lane * (BLOCK + 2), lane * SLOTS, lane * STATES, lane * CONTEXTS
+    spans = m.spans.reshape(-1)
+    before, last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+    mark, done, rows = 0, 0, slice(0, lanes)
     for t in range(steps):
-        rows = np.sort(order[: alive[t]])
-        if t % REFRESH == 0 or t & (t - 1) == 0:
-            m.refresh(rows)
-        contexts, past = m.contexts(), np.full(len(rows), 2)
-        open_rows, place = rows, np.arange(len(rows))
-        now = np.zeros(len(rows), np.int64) if reading else ids[rows, t]
-        for o in range(2):
-            c = contexts[o][open_rows]
-            guess = m.next[o][open_rows, c].astype(np.int64) - 1
-            some = guess >= 0
-            r, c, guess, at = open_rows[some], c[some], guess[some], place[some]
-            p = m.chance(o, c, r)
-            hit = coder.at(r, 12) < p if reading else now[at] == guess
-            start, size = np.where(hit, 0, p), np.where(hit, p, 4096 - p)
-            (coder.drop if reading else coder.code)(r, start, size, 12)
-            m.learn(o, c, r, hit)
-            if reading:
-                now[at[hit]] = guess[hit]
-            past[at[hit]] = o
-            left = np.ones(len(open_rows), bool)
-            left[np.flatnonzero(some)[hit]] = False
-            open_rows, place = open_rows[left], place[left]
-        if len(open_rows):
-            if reading:
-                spot = coder.at(open_rows, 16)
-                cls = (m.table[open_rows, 1:] <= spot[:, None]).sum(1)
-                first, bits = from_class(cls)
-            else:
-                cls, bits, rest = class_of(now[place])
-            start = m.table[open_rows, cls]
-            (coder.drop if reading else coder.code)(open_rows, start, m.table[open_rows, cls + 1] - start, 16)
-            r, b = open_rows[bits > 0], bits[bits > 0]
+        if t == mark:
+            m.refresh(ids[done:t], outcomes[done:t])
+            done, mark = t, t + max(1 if t == 0 else 8, t >> 2)
+            after2, after1 = m.after
+        if t == sizes[-1] and t:  # the last id of some lanes
+            rows = slice(0, int((sizes > t).sum()))
+            at_block, at_span, at_slot, at_state, at_two, before, last = (x[rows] for x in (at_block, at_span, at_slot, at_state, at_two, before, last))
+        place2, place1 = ((before * 40_503 + last * 2_731 >> 3) & (CONTEXTS - 1)) + at_two, last + at_block
+        then2, then1 = after2[place2], after1[place1]
+        guess2, guess1 = then2 >> 2, then1 >> 2
+        sure2, sure1 = then2 & 3, then1 & 3
+        same = guess2 == guess1
+        state = (sure2 << 2) + sure1 + (same.view(np.uint8) << 4)
+        weights = m.weights[at_state + state]
+        w2, w1 = weights >> 24, weights & (TOTAL - 1)
+        unit = (TOTAL - w2 - w1) >> SLOT_BITS
+        span2, span1 = spans[at_span + guess2 + 2], spans[at_span + guess1 + 2]
+        own2, own1 = span2 & SPAN, (span1 & SPAN) * ~same
+        end2 = w2 + unit * own2
+        end1 = end2 + w1 + unit * own1
+        swap = span1 < span2
+        low_at, high_at = np.minimum(span1, span2) >> SPAN_BITS, np.maximum(span1, span2) >> SPAN_BITS
+        low_own = own2 + swap * (own1 - own2)
+        high_own = own1 + own2 - low_own
+        r = coder.range[rows] >> 24
+        if reading:
+            spot = coder.value[rows] // r
+            hit2, hit1 = spot < end2, spot < end1
+            slot = np.maximum(spot - end1, 0) // unit
+            slot += (slot >= low_at) * low_own
+            slot += (slot >= high_at) * high_own
+            symbol = m.slots[at_slot + np.minimum(slot, SLOTS - 1)]
+        else:
+            now = ids[t, rows].astype(np.int64)
+            hit2, hit1 = (now == guess2) & (w2 > 0), ((now == guess1) | (now == guess2)) & (w2 > 0)
+            symbol = np.where(now < m.listed[rows], now + 2, now != m.kinds[rows])  # else NEW or OLD
+        span = spans[at_span + symbol]
+        start, size = span >> SPAN_BITS, unit * (span & SPAN)
+        start = end1 + unit * (start - (start > low_at) * low_own - (start > high_at) * high_own)
+        np.copyto(start, end2, where=hit1)
+        np.copyto(size, end1 - end2, where=hit1)
+        np.copyto(start, 0, where=hit2)
+        np.copyto(size, end2, where=hit2)
+        coder.code(rows, r, start, size)
+        if reading:
+            now = symbol.astype(np.int64) - 2
+            np.copyto(now, guess1, where=hit1)
+            np.copyto(now, guess2, where=hit2)
+        if (e := np.flatnonzero((symbol < 2) & ~hit1)).size:
+            fresh = symbol[e] == NEW
+            many = np.where(fresh, 1 << ID_BITS, np.maximum(m.kinds[e] - m.listed[e], 1))
+            r = coder.range[e] // many
             if reading:
-                rest = coder.at(r, b)
-                coder.drop(r, rest, np.ones(len(r), np.int64), b)
-                first[bits > 0] += rest
-                now[place] = first
+                first = np.minimum(coder.value[e] // r, many - 1)
+                now[e] = np.where(fresh, m.kinds[e], m.listed[e] + first)
+                names[at_block[e[fresh]] + m.kinds[e[fresh]]] = first[fresh]
             else:
-                coder.code(r, rest[bits > 0], np.ones(len(r), np.int64), b)
-            m.count(open_rows, cls)
-        m.take(rows, now, contexts, past)
+                first = np.where(fresh, names[at_block[e] + now[e]], now[e] - m.listed[e])
+            coder.code(e, r, first, 1)
+            m.kinds[e[fresh]] += 1
+            m.olds[e[~fresh]] += 1
+        both = now << 2
+        right2, right1 = now == guess2, now == guess1
+        after2[place2] = both + right2 * np.minimum(sure2 + 1, 3)
+        after1[place1] = both + right1 * np.minimum(sure1 + 1, 3)
+        outcomes[t, rows] = state * 3 + np.where(right2, 0, 2 - right1)
+        before, last = last, now
         if reading:
-            ids[rows, t] = now
-    return ids
+            ids[t, rows] = now
+    return ids, names.reshape(lanes, BLOCK)
+
+
+def block_sizes(total: int, blocks: int) -> np.ndarray:
+    """Ids in each block: the first ones have one more where they differ."""
+    return total // blocks + (np.arange(blocks) < total % blocks)
+
+
+def by_first(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """ids [lane, step] as numbers in the order of first occurrence, [step, lane], and the id of each number, [lane, number]."""
+    lanes, steps = ids.shape
+    numbers, names = np.zeros((steps, lanes), np.uint16), np.zeros((lanes, BLOCK), np.int32)
+    some = max(1, SORTED // steps)
+    for a in range(0, lanes, some):
+        own = ids[a : a + some]
+        order = np.argsort(own.astype(np.uint16 if own.max(initial=0) < 1 << 16 else np.int32), axis=1, kind="stable")
+        row = np.arange(len(own))[:, None] * steps
+        order += row
+        inorder = own.ravel()[order]
+        first = np.ones(own.shape, bool)
+        first[:, 1:] = inorder[:, 1:] != inorder[:, :-1]
+        fresh = np.zeros(own.size, bool)
+        fresh[order[first]] = True  # where each id occurs first
+        number = np.cumsum(fresh.reshape(own.shape), 1, dtype=np.int16).ravel() - np.int16(1)
+        out = np.zeros(own.size, np.uint16)
+        out[order.ravel()] = number[order[first]][np.cumsum(first.ravel()) - 1]
+        numbers[:, a : a + some] = out.reshape(own.shape).T
+        at = np.flatnonzero(fresh)
+        names[a + at // steps, number[at]] = own.ravel()[at]
+    return numbers, names
 
 
 def pack(ids: np.ndarray) -> tuple[list[bytes], list[int]]:
-    """Blocks of the ids (below 2 ** 18) and their CRC-32."""
+    """Blocks of the ids (below 2 ** ID_BITS) and their CRC-32."""
     if not len(ids):
         return [], []
-    n = -(-len(ids) // BLOCK)
-    sizes = np.full(n, BLOCK)
-    sizes[-1] = len(ids) - BLOCK * (n - 1)
-    square = np.zeros(n * BLOCK, np.int64)
-    square[: len(ids)] = ids
-    writer = Writer(n, 6 * min(BLOCK, len(ids)) + 64)
-    code(writer, sizes, square.reshape(n, BLOCK))
+    if ids.max() >> ID_BITS:
+        raise ValueError(f"an id of {ids.max()} has more than {ID_BITS} bits")
+    sizes = block_sizes(len(ids), -(-len(ids) // BLOCK))
+    ends = np.cumsum(sizes)
+    square = np.zeros((len(sizes), int(sizes[0])), np.int32)
+    for i, (a, b) in enumerate(zip((ends - sizes).tolist(), ends.tolist(), strict=True)):
+        square[i, : b - a] = ids[a:b]
+    writer = Writer(len(sizes), int(sizes[0]) * 2 + 4)
+    code(writer, sizes, *by_first(square))
     raw = ids.astype("<u4")
-    return writer.finish(), [zlib.crc32(raw[i * BLOCK : (i + 1) * BLOCK].tobytes()) for i in range(n)]
+    return writer.finish(), [zlib.crc32(raw[a:b]) for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
 
 
 def unpack(blocks: list[bytes], total: int, sums: list[int]) -> np.ndarray:
     """The ids of the blocks; ValueError where a checksum doesn't fit."""
     if not blocks:
         return np.zeros(0, np.int64)
-    sizes = np.full(len(blocks), BLOCK)
-    sizes[-1] = total - BLOCK * (len(blocks) - 1)
-    ids = code(Reader(blocks), sizes, None)
-    out = ids.ravel()[np.concatenate([np.arange(i * ids.shape[1], i * ids.shape[1] + s) for i, s in enumerate(sizes.tolist())])]
-    raw = out.astype("<u4")
-    for i, s in enumerate(sums):
-        if zlib.crc32(raw[i * BLOCK : (i + 1) * BLOCK].tobytes()) != s:
+    sizes = block_sizes(total, len(blocks))
+    try:
+        ids, names = code(Reader(blocks), sizes)
+    except IndexError as e:
+        raise ValueError("a block is damaged") from e
+    square = np.take_along_axis(names, np.ascontiguousarray(ids.T).astype(np.int64), 1)
+    out = square[np.arange(square.shape[1]) < sizes[:, None]]
+    raw, ends = out.astype("<u4"), np.cumsum(sizes)
+    for i, (s, a, b) in enumerate(zip(sums, (ends - sizes).tolist(), ends.tolist(), strict=True)):
+        if zlib.crc32(raw[a:b]) != s:
             raise ValueError(f"block {i} is damaged")
     return out
 
 
 class Tokens:
-    """Ids of texts by the tokenizers library, run by run: a run starts at a space before a letter, digit or _, where the pattern of the
-    byte-level pre-tokenizer always starts a token, so runs are encoded once and remembered."""
+    """Ids of texts by the tokenizers library, run by run: texts are cut where the byte-level pre-tokenizer always starts a token, so runs are
+    encoded once and remembered. Up to U+024F that is before and after each run of letters and digits, one space before it included, but for
+    apostrophes; other texts, and those with added tokens, are cut before a space and a letter, digit or _."""
 
     def __init__(self, path: str):
-        import re
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cut = Tokenizer.from_file(path), re.compile(r"(?= \w)")
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.plain = re.compile("|".join(["[^\x00-\u024f]", *added]))
+        word = "[^\\W_]+"
+        self.runs = re.compile(f" ?{word}|[\\W_]*'{word}|[\\W_]+(?= {word})|[\\W_]+").findall
+        self.words = re.compile(f" {word}").fullmatch
+        self.space = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.space[i] = t.startswith("\u0120")
         self.forget()
 
     def forget(self):
         self.number: dict[str, int] = {}
-        self.flat, self.sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.starts, self.sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+
+    def library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and how many each has."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(got), np.int32), np.fromiter(map(len, got), np.int64, len(got))
+
+    def learn(self, runs: list[str]):
+        """Words with a space before them go to the library JOINED at a time: each starts at the next piece that has the space."""
+        words = [r for r in runs if self.words(r)]
+        rest = [r for r in runs if not self.words(r)]
+        ids, _ = self.library(["".join(words[a : a + JOINED]) for a in range(0, len(words), JOINED)])
+        first = np.flatnonzero(self.space[ids])
+        if len(first) != len(words):
+            first, rest, words, ids = first[:0], runs, [], ids[:0]
+        more, sizes = self.library(rest)
+        ids, sizes = np.concatenate([ids, more]), np.concatenate([np.diff(np.append(first, len(ids))), sizes])
+        n, m, end = len(self.number), len(self.number) + len(runs), self.used + len(ids)
+        if m > len(self.starts):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros(max(m, len(x)), x.dtype)]) for x in (self.starts, self.sizes))
+        if end > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(end, len(self.flat)), np.int32)])
+        self.flat[self.used : end] = ids
+        self.starts[n:m], self.sizes[n:m] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.used = end
+        self.number.update(zip(words + rest, range(n, m), strict=True))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, END after each text, and how many each text has."""
@@ -279,22 +355,19 @@ class Tokens:
         runs: list[str] = []
         ends = []
         for t in texts:
-            runs += self.cut.split(t) if t else []
+            if t:
+                runs += self.cut.split(t) if self.plain.search(t) else self.runs(t)
             ends.append(len(runs))
-        if new := list(dict.fromkeys(r for r in runs if r not in self.number)):
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
-            self.flat = [np.concatenate([*self.flat, np.fromiter((i for g in got for i in g), np.int64)])]
-            self.sizes = [np.concatenate([*self.sizes, np.array([len(g) for g in got], np.int64)])]
-        sizes, flat = self.sizes[0], self.flat[0]
-        starts = np.cumsum(sizes) - sizes
+        if new := list({r: None for r in runs if r not in self.number}):
+            self.learn(new)
         at = np.fromiter(map(self.number.__getitem__, runs), np.int64, len(runs))
-        own = np.concatenate([[0], np.cumsum(sizes[at])])[np.concatenate([[0], ends]).astype(np.int64)]
+        starts, sizes = self.starts[at], self.sizes[at]
+        own = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], ends]).astype(np.int64)]
         counts = np.diff(own) + 1
         out = np.full(int(counts.sum()), END)
         body = np.ones(len(out), bool)
         body[np.cumsum(counts) - 1] = False
-        out[body] = flat[ragged(starts[at], sizes[at])]
+        out[body] = self.flat[ragged(starts, sizes)]
         return out, counts
 
 
@@ -366,8 +439,6 @@ def _read(spark, path: str, digest: bool) -> DataFrame:
 
 def stored(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every row, from files written to the shared folder and read back."""
-    import uuid
-
     path = f"{shared_dir(docs.sparkSession)}/ids-{uuid.uuid4().hex}"
     write(docs, tokenizer, path)
     return _read(docs.sparkSession, path, True)
