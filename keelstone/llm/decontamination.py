@@ -5,8 +5,10 @@ threshold fits all items, and a retrieval with a fixed threshold finds everythin
 `stride` words, a stride being as long as the longest item: whatever an item's words are copied from lies whole in one passage.
 
 Per passage block-max WAND: no item can reach the threshold where the terms' maxima together don't, and none of a block of items where the
-maxima within the block don't; both are worked out for all passages of a batch at once. In the few that are left cursors over the
-posting lists skip by pivots and by the maxima of posting blocks. Retrieved items count only if enough of the question's word n-grams and of the answer's are in the passage.
+maxima within the block don't. Both are worked out for all passages of a batch at once, from the postings of their terms alone: the
+terms with the longest lists, whose maxima together are below SLACK, are not opened, as they alone bring no item up and count in full in every
+bound. In the blocks left cursors over the posting lists skip by pivots and by the maxima of posting blocks. Retrieved items
+count only if enough of the question's word n-grams and of the answer's are in the passage. Letters are compared in lower case by Unicode's rules.
 A question or answer of fewer words than GRAM is one n-gram of all its words, looked for among the passage's runs of as many words.
 """
 
@@ -19,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,15 +29,17 @@ from .common import U64, distinct, flat, mixed, pieces, ragged, word_hashes, wor
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, GRAM = 0.6, 0.5, 5
-POSTING_BLOCK, ITEM_BLOCK, CELLS = 32, 2, 4_000_000
+POSTING_BLOCK, ITEM_BLOCK, CELLS, SLACK = 32, 2, 4_000_000, 0.1
 INDEX_BYTES = 32 << 20
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, word long"
 BETWEEN = np.array([not (chr(b).isalnum() or b >= 128) for b in range(256)])
 
 
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (letters, digits and bytes beyond ASCII; A-Z as a-z), and at each text the number of words before it."""
+    """Hashes of all words (letters, digits and bytes beyond ASCII; in lower case), and at each text the number of words before it."""
     data, at, _ = flat(texts)
+    if (data >= 128).any():
+        data, at, _ = flat(pc.utf8_lower(texts))
     starts, ends, before = word_spans(data, at, BETWEEN)
     return word_hashes(data, starts, ends), before
 
@@ -85,14 +90,39 @@ class Index:
         self.cell_largest = np.maximum.reduceat(np.concatenate(self.impacts), first)
         self.cell_block = cell[first] % self.blocks
         self.cell_start = np.searchsorted(cell[first] // self.blocks, np.arange(len(self.terms) + 1))
+        self.longest = np.argsort(-np.diff(self.cell_start), kind="stable")
+        self.by_length = np.argsort(self.longest)
         self.items, self.impacts, self.block_largest = ([x.tolist() for x in y] for y in (self.items, self.impacts, self.block_largest))
 
-    def bounds(self, stride: np.ndarray, term: np.ndarray, strides: int) -> np.ndarray:
-        """The most that an item of each block can score for the terms of each stride: [stride, block]."""
+    def candidates(self, passage: np.ndarray, term: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """Passages and blocks in which an item can reach the threshold, given the terms of each passage (twice if they are in both halves)."""
+        key = distinct(passage * len(self.terms) + self.by_length[term])
+        passage, term = key // len(self.terms), self.longest[key % len(self.terms)]
+        first = np.concatenate([[True], passage[1:] != passage[:-1]])
+        sums = np.cumsum(self.largest[term])
+        here = np.cumsum(first) - 1
+        sums -= (sums - self.largest[term])[first][here]
+        closed = sums <= min(SLACK, threshold / 2)
+        slack = np.zeros(here[-1] + 1)
+        np.maximum.at(slack, here[closed], sums[closed])
+        here, of, term = here[~closed], passage[first], term[~closed]
         sizes = self.cell_start[term + 1] - self.cell_start[term]
-        at = ragged(self.cell_start[term], sizes)
-        own = np.bincount(np.repeat(stride, sizes) * self.blocks + self.cell_block[at], self.cell_largest[at], minlength=strides * self.blocks)
-        return own.reshape(strides, self.blocks)
+        keys = []
+        cuts = np.searchsorted(np.cumsum(sizes), np.arange(0, int(sizes.sum()), CELLS))
+        for a, z in zip(cuts, [*cuts[1:], len(term)], strict=True):
+            a, z = (np.searchsorted(here, here[x]) if x < len(here) else x for x in (a, z))  # whole passages
+            at = ragged(self.cell_start[term[a:z]], sizes[a:z])
+            if not len(at):
+                continue
+            key = np.repeat(here[a:z], sizes[a:z]) * self.blocks + self.cell_block[at]
+            order = np.argsort(key, kind="stable")
+            key, bound = key[order], self.cell_largest[at][order]
+            start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            key, bound = key[start], np.add.reduceat(bound, start)
+            keep = bound + slack[key // self.blocks] >= threshold - 1e-9
+            keys.append(key[keep])
+        key = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+        return of[key // self.blocks], key % self.blocks
 
     def retrieve(self, terms: np.ndarray, threshold: float, low: int = 0, high: int | None = None) -> list[tuple[int, float]]:
         """Items from low to before high whose score for these distinct terms is at the threshold or above: block-max WAND."""
@@ -234,16 +264,14 @@ def search(part: pa.RecordBatch, index: Index, threshold: float, overlap: float)
     cuts = np.searchsorted(stride, np.arange(first[-1] + 2))
     out: dict[tuple[int, int], tuple[float, float, float, int]] = {}
     own_row = np.repeat(np.arange(len(strides)), strides)
-    likely: list[tuple[int, int]] = []
-    step = max(1, CELLS // index.blocks)
-    for a in range(0, first[-1], step):
-        z = min(a + step, first[-1])
-        if (both[a:z] >= threshold - 1e-9).any():
-            near = slice(cuts[a], cuts[z + 1])
-            cells = index.bounds(stride[near] - a, term[near], z + 1 - a)
-            cells = cells[:-1] + np.where(joined[a:z, None], cells[1:], 0.0)
-            at, block = np.nonzero(cells >= threshold - 1e-9)
-            likely += zip((a + at).tolist(), block.tolist(), strict=True)
+    able = both >= threshold - 1e-9
+    second = np.flatnonzero(stride > 0)
+    second = second[joined[stride[second] - 1] & able[stride[second] - 1]]
+    own = np.flatnonzero(able[stride])
+    passage, held = np.concatenate([stride[own], stride[second] - 1]), np.concatenate([term[own], term[second]])
+    if not len(passage):
+        return out
+    likely = zip(*(x.tolist() for x in index.candidates(passage, held, threshold)), strict=True)
     for s, block in likely:
         terms = distinct(term[cuts[s] : cuts[s + 1 + joined[s]]])
         if not (found := index.retrieve(terms, threshold, block * ITEM_BLOCK, (block + 1) * ITEM_BLOCK)):

@@ -11,7 +11,7 @@ DOCS, ITEMS = "doc_id long, text string, score string", "item_id long, text stri
 
 
 def vocabulary(rng, n):
-    return ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 5))) for _ in range(n)]
+    return ["".join(rng.choice("abcdefghñéü") for _ in range(rng.randint(1, 5))) for _ in range(n)]
 
 
 def test_wand_finds_all_above_the_threshold():
