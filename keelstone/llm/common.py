@@ -30,7 +30,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """df, written once as Parquet to the shared folder and read again: later jobs don't recompute it."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes the files of staged tables that nothing reads any more. Tables that a returned DataFrame reads stay; who set the folder owns them."""
+    for df in tables:
+        if path := getattr(df, "staged_at", None):
+            jvm = df.sparkSession._jvm
+            own = jvm.org.apache.hadoop.fs.Path(path)
+            own.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(own, True)
 
 
 def give_back() -> None:

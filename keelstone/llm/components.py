@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import drop, staged
 
 
 def components(links: DataFrame) -> DataFrame:
-    """id and root (least id reachable) of every id in the links (a, b). Links may repeat and join an id to itself; nulls are ignored."""
+    """id and root (least id reachable) of every id in the links (a, b), of any type that has an order. Links may repeat and join an id to itself; nulls are ignored."""
     edges = staged(links.where("a <> b").selectExpr("greatest(a, b) u", "least(a, b) v").distinct(), "links")
     before = None
     while True:
@@ -18,7 +18,8 @@ def components(links: DataFrame) -> DataFrame:
         large = both.where("v > u").join(least, "u").selectExpr("v u", "m v").distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").where("v <> m").selectExpr("v u", "m v").union(lowest.selectExpr("u", "m v")).distinct()
-        edges = staged(small, "links")
+        last, edges = edges, staged(small, "links")
+        drop(last)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.selectExpr("u id", "v root").union(edges.selectExpr("v id", "v root").distinct())

@@ -22,14 +22,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import U64, distinct, flat, mixed, packed, pieces, ragged, released, staged, word_hashes, word_spans
+from .common import U64, distinct, drop, flat, mixed, packed, pieces, ragged, released, staged, word_hashes, word_spans
 from .components import components
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 80, 100
 SKETCH_BITS, SEGMENT_BITS = 20, 14
 FREQUENT = 64
-LIST_BITS, MARK_BITS, MARK_SEGMENT = 11, 26, 15
+LIST_BITS, LIST_ENTRIES = 11, 1 << 19
+MARK_BITS, MARK_SEGMENT, MARKED = 28, 15, 1 << 24
 HELD = 2_000_000
 SALT = 32
 SHORT = 16
@@ -70,11 +72,11 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """For each row doc_id, n, k1, k2; and rows (segment, counts) of the frequency table."""
+    """For each row doc_id, row_key, n, k1, k2; and rows (segment, counts) of the frequency table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
-        names = ["doc_id", "n", "k1", "k2", "segment", "counts"]
+        names = ["doc_id", "row_key", "n", "k1", "k2", "segment", "counts"]
         for batch in batches:
             for part in pieces(batch, "text", PIECE_BYTES):
                 sets = shingle_sets(part.column("text"))
@@ -82,14 +84,14 @@ def sketched(docs: DataFrame) -> DataFrame:
                     counts += np.bincount((np.concatenate(sets) >> U64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts)).astype(np.uint32)
                 keys = [fingerprint(s) for s in sets]
                 none = pa.nulls(len(sets))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row_key"), pa.array([len(s) for s in sets], pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], names=names)
         if counts.any():
             own = counts.reshape(-1, 1 << SEGMENT_BITS)
             at = np.flatnonzero(own.any(1))
             none = pa.nulls(len(at), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(at, pa.int32()), packed([own[i].tobytes() for i in at])], names=names)
+            yield pa.RecordBatch.from_arrays([none, none, none, none, none, pa.array(at, pa.int32()), packed([own[i].tobytes() for i in at])], names=names)
 
-    return docs.mapInArrow(released(run), "doc_id long, n long, k1 long, k2 long, segment int, counts binary")
+    return docs.withColumn("row_key", F.xxhash64("text")).mapInArrow(released(run), "doc_id long, row_key long, n long, k1 long, k2 long, segment int, counts binary")
 
 
 def summed(rows: DataFrame) -> np.ndarray:
@@ -172,17 +174,21 @@ def starred(sets: DataFrame, shared) -> DataFrame:
     return found.where("x <> hub").selectExpr("hub a", "x b").union(across).distinct()
 
 
-def place_of(values: np.ndarray) -> np.ndarray:
-    return (mixed(values.astype(np.int64).view(U64)) >> U64(64 - MARK_BITS)).astype(np.int64)
+def place_of(values: np.ndarray, bits: int) -> np.ndarray:
+    return (mixed(values.astype(np.int64).view(U64)) >> U64(64 - bits)).astype(np.int64)
 
 
-def marks(values: DataFrame) -> np.ndarray:
-    """A bit for the hash of each value of the one long column: a table of fixed size that is never short of a value."""
+def marks(values: DataFrame) -> tuple[int, np.ndarray] | None:
+    """A bit for the hash of each value of the one long column, 16 bits or more for each of them; None where that passes 2 ** MARK_BITS bits."""
+    count = values.count()
+    if count > MARKED:
+        return None
+    bits = max(MARK_SEGMENT + 1, count.bit_length() + 4)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(1 << (MARK_BITS - 3), np.uint8)
+        own = np.zeros(1 << (bits - 3), np.uint8)
         for batch in batches:
-            at = place_of(np.asarray(batch.column(0), dtype=np.int64))
+            at = place_of(np.asarray(batch.column(0), dtype=np.int64), bits)
             np.bitwise_or.at(own, at >> 3, (1 << (at & 7)).astype(np.uint8))
         yield rows({int(i): x for i, x in enumerate(own.reshape(-1, 1 << (MARK_SEGMENT - 3))) if x.any()})
 
@@ -196,27 +202,31 @@ def marks(values: DataFrame) -> np.ndarray:
     def rows(own: dict[int, np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(own), pa.int32()), packed([x.tobytes() for x in own.values()])], names=["segment", "bits"])
 
-    schema, out = "segment int, bits binary", np.zeros(1 << (MARK_BITS - 3), np.uint8).reshape(-1, 1 << (MARK_SEGMENT - 3))
+    schema, out = "segment int, bits binary", np.zeros(1 << (bits - 3), np.uint8).reshape(-1, 1 << (MARK_SEGMENT - 3))
     for r in values.mapInArrow(released(send), schema).repartition(64, "segment").mapInArrow(released(meet), schema).toLocalIterator():
         out[r[0]] = np.frombuffer(r[1], np.uint8)
-    return out.ravel()
+    return bits, out.ravel()
 
 
-def is_marked(values: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    at = place_of(values)
-    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+def is_marked(values: np.ndarray, table: tuple[int, np.ndarray]) -> np.ndarray:
+    bits, own = table
+    at = place_of(values, bits)
+    return (own[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
 def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those pairs (a, ak, b, bk) of ids and set keys whose sets are similar enough, as (a, b)."""
+    """Those pairs (a, ak, b, bk) of ids and set keys whose sets are similar enough, as links of classes (r: id, k: set key)."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(marks(pairs.selectExpr("a id").union(pairs.selectExpr("b id"))))
+    ends = pairs.selectExpr("a doc_id").union(pairs.selectExpr("b doc_id"))
+    table = marks(ends)
+    shared = spark.sparkContext.broadcast(table)
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(is_marked(np.asarray(batch.column("doc_id"), dtype=np.int64), shared.value)))
 
-    texts = docs.where("doc_id is not null and text is not null").mapInArrow(released(named), "doc_id long, text string").hint("merge")
+    texts = docs.where("doc_id is not null and text is not null")
+    texts = (texts.join(ends, "doc_id", "left_semi") if table is None else texts.mapInArrow(released(named), "doc_id long, text string")).hint("merge")
     copies = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("c")).select("a", F.ceil(F.col("c") / SALT).cast("int").alias("salts"))
     members = pairs.join(copies, "a").withColumn("salt", F.pmod(F.xxhash64("b", "bk"), F.col("salts")).cast("int")).join(texts.withColumnRenamed("doc_id", "b"), "b").select("a", "ak", "salt", F.lit(1).alias("kind"), "b", "bk", "text")
     leaders = pairs.select("a", "ak").distinct().join(copies, "a").join(texts.withColumnRenamed("doc_id", "a"), "a").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select("a", "ak", "salt", F.lit(0).alias("kind"), F.col("a").alias("b"), F.col("ak").alias("bk"), "text")
@@ -228,7 +238,7 @@ def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in pieces(batch, "text", PIECE_BYTES):
                 sets = shingle_sets(part.column("text"))
-                a, b = [], []
+                found: list[tuple[int, int, int, int]] = []
                 rows = zip(*(part.column(c).to_pylist() for c in ("a", "ak", "salt", "kind", "b", "bk")), sets, strict=True)
                 for pa_, pk, salt, kind, pb, bk, s in rows:
                     if fingerprint(s)[0] != bk:
@@ -241,22 +251,21 @@ def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                         spot[spot == len(y)] = 0
                         common = int((y[spot] == x).sum())
                         if DENOMINATOR * common >= NUMERATOR * (len(x) + len(y) - common):
-                            a.append(pa_)
-                            b.append(pb)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                            found.append((pa_, pk, pb, bk))
+                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in range(4)], names=["a", "ak", "b", "bk"])
 
-    return both.mapInArrow(released(run), "a long, b long").distinct()
+    return both.mapInArrow(released(run), "a long, ak long, b long, bk long").distinct().selectExpr("struct(a r, ak k) a", "struct(b r, bk k) b")
 
 
-def live_lists(sets: DataFrame, parts: int) -> DataFrame:
-    """43-bit marks of the shingles whose lists hold more than one group."""
+def live_lists(sets: DataFrame, parts: int, bits: int) -> DataFrame:
+    """The first bits + 32 bits of the shingles whose lists hold more than one group. Lists meet in 2 ** bits buckets."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens: list[np.ndarray] = []
         groups: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
-            token, group = np.concatenate(tokens) >> U64(64 - LIST_BITS - 32), np.concatenate(groups)
+            token, group = np.concatenate(tokens) >> U64(32 - bits), np.concatenate(groups)
             order = np.argsort(token, kind="stable")
             token, group = token[order], group[order]
             first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
@@ -266,7 +275,7 @@ def live_lists(sets: DataFrame, parts: int) -> DataFrame:
             token, group = np.concatenate([token, token[several]]), np.concatenate([low, high[several]])
             order = np.argsort(token, kind="stable")
             token, group = token[order], group[order]
-            cuts = np.searchsorted(token >> U64(32), np.arange((1 << LIST_BITS) + 1).astype(U64))
+            cuts = np.searchsorted(token >> U64(32), np.arange((1 << bits) + 1).astype(U64))
             own = np.flatnonzero(np.diff(cuts))
             small = token.astype(np.uint32)
             return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), packed([small[cuts[i] : cuts[i + 1]].tobytes() for i in own]), packed([group[cuts[i] : cuts[i + 1]].tobytes() for i in own])], names=["bucket", "tokens", "groups"])
@@ -352,15 +361,17 @@ def pairs_of(own: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in (x[i], k[i], x[j], k[j])], names=["a", "ak", "b", "bk"])
 
 
-def across_groups(sets: DataFrame, live: DataFrame, parts: int) -> DataFrame:
+def across_groups(sets: DataFrame, live: DataFrame, parts: int, bits: int) -> DataFrame:
     """Pairs (a, ak, b, bk) of sets in different groups that the live lists leave to compare."""
-    shared = sets.sparkSession.sparkContext.broadcast(marks(live))
+    table = marks(live)
+    shared = sets.sparkSession.sparkContext.broadcast(table)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             token, row, pos = entries(batch)
-            keep = is_marked((token >> U64(64 - LIST_BITS - 32)).astype(np.int64), shared.value)
-            token, row, pos = token[keep], row[keep], pos[keep]
+            if table is not None:
+                keep = is_marked((token >> U64(32 - bits)).astype(np.int64), shared.value)
+                token, row, pos = token[keep], row[keep], pos[keep]
             own = [pa.array(np.asarray(batch.column(c), dtype=np.int64)[row]) for c in ("rep", "k1", "n", "label")]
             yield pa.RecordBatch.from_arrays([pa.array(token.astype(np.int64)), *own, pa.array(pos)], names=["token", "x", "k", "n", "label", "pos"])
 
@@ -376,38 +387,65 @@ def across_groups(sets: DataFrame, live: DataFrame, parts: int) -> DataFrame:
             yield pairs_of(rest)
 
     rows = sets.select("rep", "k1", "n", "label", "tokens").mapInArrow(released(send), "token long, x long, k long, n long, label long, pos long")
+    if table is None:
+        rows = rows.withColumn("live", F.shiftrightunsigned("token", 32 - bits)).join(live, "live", "left_semi").drop("live")
     return rows.repartition(parts, "token").sortWithinPartitions("token").mapInArrow(released(meet), "a long, ak long, b long, bk long").distinct()
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of docs (doc_id, text; other columns are not read).
-
-    Words are runs [^\x20\x09-\x0D]+ with A-Z as a-z; shingles are WORDS of them. Texts are linked if the Jaccard
-    similarity of their sets is NUMERATOR / DENOMINATOR or more; component_id is the least doc_id reachable. Null texts and texts
-    without words have no shingles and stand alone. Rows that repeat an id are linked each by its own text. Rows without an id are
-    linked with nothing and have no component_id. An empty table gives no rows.
-    """
+def clustered(docs: DataFrame) -> DataFrame:
+    """doc_id, row_key (hash of the text), n and root of every row: root (r: least id, k: set key) names the group, null where a row has no id or no shingle."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
     first = staged(sketched(docs), "join-sets")
-    rows = first.where("segment is null")
+    rows = first.where("segment is null").drop("segment", "counts")
     shared = spark.sparkContext.broadcast(summed(first))
-    classes = staged(rows.where("doc_id is not null and n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "join-classes")
+    classes = staged(rows.where("doc_id is not null and n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")).selectExpr("k1", "k2", "rep", "struct(rep r, k1 k) id"), "join-classes")
     sets = staged(prefixes(docs.where("doc_id is not null"), shared), "join-prefixes")
     keys = classes.select("k1", "rep")
-    pairs = starred(sets, shared).join(keys.selectExpr("k1 a", "rep ra"), "a").join(keys.selectExpr("k1 b", "rep rb"), "b").selectExpr("ra a", "a ak", "rb b", "b bk")
-    links = staged(compared(docs, staged(pairs, "join-pairs")), "join-links")
-    known = components(links)
-    labels = classes.join(known.withColumnRenamed("id", "rep"), "rep", "left").selectExpr("k1", "k2", "rep", "coalesce(root, rep) label")
-    sets = staged(sets.join(labels.hint("merge"), ["k1", "k2"]), "join-labelled")
-    total = sets.agg(F.sum(F.length("tokens") / 8)).first()[0] or 0
-    parts = max(parts, -(-int(total) // 2_000_000))
-    live = staged(live_lists(sets, parts), "join-live")
-    more = staged(across_groups(sets, live, parts), "join-more")
+    stars = staged(starred(sets, shared).join(keys.selectExpr("k1 a", "rep ra"), "a").join(keys.selectExpr("k1 b", "rep rb"), "b").selectExpr("ra a", "a ak", "rb b", "b bk"), "join-pairs")
+    known = components(compared(docs, stars))
+    labelled = staged(sets.join(classes.join(known, "id", "left").selectExpr("k1", "k2", "rep", "coalesce(root, id).k label").hint("merge"), ["k1", "k2"]), "join-labelled")
+    drop(sets, stars)
+    total = int(labelled.agg(F.sum(F.length("tokens") / 8)).first()[0] or 0)
+    parts, bits = max(parts, -(-total // 2_000_000)), min(24, max(LIST_BITS, (total // LIST_ENTRIES).bit_length()))
+    live = staged(live_lists(labelled, parts, bits), "join-live")
+    more = staged(across_groups(labelled, live, parts, bits), "join-more")
+    drop(live, labelled)
     found = staged(compared(docs, more), "join-links")
     if not found.isEmpty():
-        known = components(known.selectExpr("id a", "root b").union(found))
-    ends = classes.join(known.withColumnRenamed("id", "rep"), "rep", "left").selectExpr("k1", "k2", "coalesce(root, rep) component")
-    alone = rows.where("doc_id is null or n = 0").selectExpr("doc_id", "n n_shingles", "doc_id component_id")
-    return rows.where("doc_id is not null and n > 0").join(ends, ["k1", "k2"]).selectExpr("doc_id", "n n_shingles", "component component_id").union(alone)
+        before, known = known, components(known.selectExpr("id a", "root b").union(found))
+        drop(before)
+    drop(more, found)
+    ends = classes.join(known, "id", "left").selectExpr("k1", "k2", "coalesce(root, id) root")
+    alone = rows.where("doc_id is null or n = 0").selectExpr("doc_id", "row_key", "n", "cast(null as struct<r: long, k: long>) root")
+    return rows.where("doc_id is not null and n > 0").join(ends, ["k1", "k2"]).select("doc_id", "row_key", "n", "root").union(alone)
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of docs (doc_id, text; other columns are not read).
+
+    Words are runs [^\x20\x09-\x0D]+ with A-Z as a-z; shingles are WORDS of them. Texts are linked if the Jaccard
+    similarity of their sets is NUMERATOR / DENOMINATOR or more; component_id is the least doc_id reachable. Null texts and texts
+    without words have no shingles and stand alone. Rows that repeat an id are linked each by its own text: the id alone links nothing.
+    Rows without an id are linked with nothing and have no component_id. An empty table gives no rows.
+    """
+    return clustered(docs).selectExpr("doc_id", "n n_shingles", "coalesce(root.r, doc_id) component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Of each group of linked texts one row of docs, with all its columns: that with the least id, then the least row_key, then the least other columns.
+
+    Rows without an id and rows without words stay all. Rows that repeat an id with texts that aren't linked stay each.
+    """
+    rows = staged(clustered(docs), "join-rows")
+    chosen = rows.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "row_key")).alias("own"))
+    same = rows.where("root is not null").groupBy("doc_id", "row_key").agg(F.count(F.lit(1)).alias("same"))
+    kept = staged(chosen.select("own.*").join(same, ["doc_id", "row_key"]).union(rows.where("root is null and doc_id is not null").selectExpr("doc_id", "row_key", "0L same").distinct()), "join-kept")
+    keyed = docs.withColumn("row_key", F.xxhash64(F.col("text").cast("string")))
+    own = [docs["doc_id"].cast("long") == kept["doc_id"], keyed["row_key"] == kept["row_key"]]
+    single = keyed.join(kept.where("same < 2").drop("same"), own, "left_semi").select(*docs.columns)
+    several = keyed.join(kept.where("same > 1").drop("same"), own, "left_semi")
+    order = Window.partitionBy("doc_id", "row_key").orderBy(*docs.columns)
+    several = several.withColumn("rank", F.row_number().over(order)).where("rank = 1").select(*docs.columns)
+    return single.union(several).union(docs.where("doc_id is null"))

@@ -10,24 +10,25 @@ SCHEMA = "doc_id long, text string, n_shingles string, k1 string"
 
 
 def brute(rows):
-    sets = {}
+    sets = []
     for i, t, *_ in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
-        sets.setdefault(i, []).append({tuple(w[j : j + 5]) for j in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
-    flat = [(i, s) for i, many in sets.items() for s in many]
-    root = {i: i for i in sets}
+        sets.append((i, {tuple(w[j : j + 5]) for j in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()))
+    root = list(range(len(sets)))
 
     def find(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    for a, (i, x) in enumerate(flat):
-        for j, y in flat[:a]:
+    for a, (_, x) in enumerate(sets):
+        for b, (_, y) in enumerate(sets[:a]):
             if x and y and 100 * len(x & y) >= 80 * len(x | y):
-                p, q = sorted((find(i), find(j)))
-                root[q] = p
-    return sorted((i, len(s), find(i)) for i, s in flat)
+                root[find(a)] = find(b)
+    least = {}
+    for a, (i, _) in enumerate(sets):
+        least[find(a)] = min(i, least.get(find(a), i))
+    return sorted((i, len(s), least[find(a)]) for a, (i, s) in enumerate(sets))
 
 
 def corpus(seed, n):
@@ -48,13 +49,15 @@ def corpus(seed, n):
     return [(i, rng.choice([" ", "\n", "  "]).join(w).title() if rng.random() < 0.3 else " ".join(w), "x", "y") for i, w in enumerate(out)]
 
 
-@pytest.mark.parametrize("seed, frequent", [(1, 64), (2, 2)])
-def test_brute_force(spark, monkeypatch, seed, frequent):
+@pytest.mark.parametrize("seed, frequent, marked", [(1, 64, 1 << 24), (2, 2, 0)])
+def test_brute_force(spark, monkeypatch, seed, frequent, marked):
     monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
+    monkeypatch.setattr(ngram_join, "MARKED", marked)  # 0: semi joins in place of marks
     rows = corpus(seed, 25)
     n = len(rows)
     rows += [(n + 1, None, "", ""), (n + 2, "", "", ""), (n + 3, " \n\t ", "", ""), (n + 4, "Ein Wort", "", ""), (n + 5, "ein wort", "", ""), (n + 6, "nine " * 4000, "", "")]
     rows += rows[:3]
+    rows += [(rows[9][0], rows[20][1], "", ""), (rows[11][0], rows[20][1] + " more", "", ""), (rows[12][0], "of its own kind and like none", "", "")]  # ids with several texts
     got = ngram_join.groups(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
     assert sorted(map(tuple, got)) == brute(rows)
 
@@ -82,3 +85,12 @@ def test_components(spark):
                 todo.append(j)
         assert got[i] == min(seen)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_one_of_each(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    near, other, third = text.replace("w7 ", "x "), " ".join(f"v{i}" for i in range(60)), " ".join(f"u{i}" for i in range(9))
+    rows = [(4, text, "b", ""), (4, text, "a", ""), (4, other, "", ""), (2, other + " z", "", ""), (9, near, "", ""), (9, third, "", ""), (9, third, "", ""), (None, text, "", ""), (None, text, "", ""), (5, None, "", ""), (5, None, "", ""), (6, " ", "", "")]
+    got = sorted(((r.doc_id or -1), r.text or "", r.n_shingles) for r in ngram_join.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == sorted([(4, text, "a"), (2, other + " z", ""), (9, third, ""), (-1, text, ""), (-1, text, ""), (5, "", ""), (5, "", ""), (6, " ", "")])
+    assert ngram_join.one_of_each(spark.createDataFrame([], SCHEMA)).collect() == []
