@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelstone.llm import decontamination, language_id, ngram_join, sentence_pieces
-from keelstone.llm.common import staged
+from keelstone.llm.common import drop, staged
 from keelstone.llm.queries import vocabulary_path
 
 #: Bits per character in the best language at which a text is in none of them: phrases of two letters or so.
@@ -14,7 +14,10 @@ NO_LANGUAGE = 7.0
 
 
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose text has a letter and parses into phrases of a learned language; with nothing to learn from, rows with a letter."""
+    """Rows whose text has a letter and parses into phrases of a learned language; with nothing to learn from, rows with a letter.
+
+    Null and empty texts go. Rows may repeat, ids may be null; whole texts are read, however long. An empty table gives no rows.
+    """
     model = language_id.train(docs)
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
@@ -22,20 +25,17 @@ def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked texts the row with the least id, once; rows without words and rows without an id stay."""
-    groups = ngram_join.groups(docs)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    own = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return own.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """Of each group of linked texts one row, that with the least id; rows without words, rows without an id and every other text of an id stay."""
+    return ngram_join.one_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that hold no benchmark item."""
+    """Rows that hold no benchmark item: all of them where there are no items. Rows may repeat; any column may be null."""
     return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids, n_tokens and same (the ids decode to the text) of every row."""
+    """doc_id, ids, n_tokens and same (the ids decode to the text) of every row; a null or empty text has no ids."""
     pieces = sentence_pieces.load(vocabulary_path("piece_bpe_32k.model"))
     return sentence_pieces.tokenize(docs, pieces).select("doc_id", "ids", "n_tokens", "same")
 
@@ -50,5 +50,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of all stages applied to documents, each stage written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop(before)
     return docs
