@@ -25,7 +25,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentence_pieces.tokenize(_documents(spark, sf_dir), sentence_pieces.load(vocabulary_path("piece_bpe_32k.model")), results=False)
+    return sentence_pieces.tokenize(_documents(spark, sf_dir), sentence_pieces.load(vocabulary_path("piece_bpe_32k.model")), ("doc_id", "ids", "n_tokens", "n_bytes", "score", "text_crc32", "same"))
 
 
 def op3_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,7 +28,8 @@ SCALAR_FROM = 192
 KEPT_RUNS = 200_000
 PIECE_BYTES = 1 << 20
 LEARN_RUNS = 1 << 14
-SCHEMA = "doc_id long, ids array<int>, n_tokens int, n_bytes int, score double, decoded string, same boolean"
+SCHEMA = "doc_id long, ids array<int>, n_tokens int, n_bytes int, score double, decoded string, ids_crc32 long, text_crc32 long, same boolean"
+COLUMNS = ("doc_id", "ids", "n_tokens", "n_bytes", "score", "decoded", "same")
 
 
 @dataclass
@@ -66,10 +68,10 @@ def load(path: str) -> Pieces:
 
 
 def solve_one(run: bytes, v: Pieces) -> tuple[list[int], float]:
-    """The best cut of one run, step by step."""
-    base, check, value, scores = v.trie.base, v.trie.check, v.trie.value, v.scores
+    """The best cut of one run, step by step: time and memory are linear in its bytes."""
+    base, check, value, scores = (memoryview(x) for x in (v.trie.base, v.trie.check, v.trie.value, v.scores))
     n = len(run)
-    best, back = [float("-inf")] * (n + 1), [(0, -1)] * (n + 1)
+    best, back, by = array("d", [float("-inf")]) * (n + 1), array("q", [0]) * (n + 1), array("q", [-1]) * (n + 1)
     best[0] = 0.0
     for p in range(n):
         if run[p] & 0xC0 == 0x80:
@@ -77,24 +79,24 @@ def solve_one(run: bytes, v: Pieces) -> tuple[list[int], float]:
         width = 1 if run[p] < 0x80 else 2 if run[p] < 0xE0 else 3 if run[p] < 0xF0 else 4
         state, q, single = 0, p, False
         while q < n:
-            to = int(base[state]) + run[q] + 1
+            to = base[state] + run[q] + 1
             if check[to] != state:
                 break
             state, q = to, q + 1
-            piece = int(value[to])
+            piece = value[to]
             if piece >= 0:
                 single |= q - p == width
                 if (s := best[p] + scores[piece]) > best[q]:
-                    best[q], back[q] = s, (p, piece)
+                    best[q], back[q], by[q] = s, p, piece
         if not single and (s := best[p] + v.unknown) > best[p + width]:
-            best[p + width], back[p + width] = s, (p, -1)
+            best[p + width], back[p + width], by[p + width] = s, p, -1
     ids: list[int] = []
     q = n
     while q:
-        p, piece = back[q]
-        ids[:0] = [piece] if piece >= 0 else [int(v.byte_id[b]) for b in run[p:q]]
+        p, piece = back[q], by[q]
+        ids += [piece] if piece >= 0 else v.byte_id[list(run[p:q][::-1])].tolist()
         q = p
-    return ids, best[n]
+    return ids[::-1], best[n]
 
 
 def solve(runs: list[bytes], v: Pieces) -> tuple[list[np.ndarray], np.ndarray]:
@@ -240,15 +242,17 @@ def decode(ids: np.ndarray, counts: np.ndarray, v: Pieces) -> list[bytes]:
     return out
 
 
-def tokenize(docs: DataFrame, vocabulary: Pieces, results: bool = True) -> DataFrame:
-    """Every row's doc_id, ids, n_tokens, n_bytes (ids of byte pieces), score (log), decoded, same (decoded is the text).
+def tokenize(docs: DataFrame, vocabulary: Pieces, columns: tuple[str, ...] = COLUMNS) -> DataFrame:
+    """The columns of SCHEMA that are asked for, of every row: n_bytes counts ids of byte pieces, score is the sum of the pieces' scores, same tells
+    whether decoded is the text, ids_crc32 is of the ids as little-endian int32, text_crc32 of the decoded text.
 
     Null and empty texts have no ids, score 0 and decode to "". A decoded text differs only where the text itself holds the marker
-    U+2581, which decodes to a space. Rows may repeat, ids may be null; only doc_id and text are read. results=False gives
-    checksums in place of ids and decoded: ids_crc32 (of little-endian int32), text_crc32.
+    U+2581, which decodes to a space. Very long texts cost time in proportion to their bytes, with or without spaces. Rows may repeat, ids may
+    be null; only doc_id and text are read. An empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    schema = SCHEMA if results else "doc_id long, n_tokens int, n_bytes int, score double, ids_crc32 long, text_crc32 long, same boolean"
+    kinds = dict(c.split(maxsplit=1) for c in SCHEMA.split(", "))
+    schema = ", ".join(f"{c} {kinds[c]}" for c in columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Encoder(shared.value)
@@ -263,14 +267,15 @@ def tokenize(docs: DataFrame, vocabulary: Pieces, results: bool = True) -> DataF
                 fallen = np.concatenate([[0], np.cumsum(is_byte[ids])])[ends]
                 known = {"doc_id": part.column("doc_id"), "n_tokens": pa.array(counts, pa.int32()), "n_bytes": pa.array(np.diff(fallen), pa.int32()), "score": pa.array(scores)}
                 known["same"] = pa.array([a == b for a, b in zip(texts, back, strict=True)])
-                if results:
+                if "ids" in columns:
                     known["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+                if "decoded" in columns:
                     known["decoded"] = pa.array([b.decode("utf-8", "replace") for b in back])
-                else:
+                if "ids_crc32" in columns:
                     raw = ids.astype("<i4").tobytes()
                     known["ids_crc32"] = pa.array([zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False)], pa.int64())
+                if "text_crc32" in columns:
                     known["text_crc32"] = pa.array(map(zlib.crc32, back), pa.int64())
-                names = [c.split()[0] for c in schema.split(", ")]
-                yield pa.RecordBatch.from_arrays([known[c] for c in names], names=names)
+                yield pa.RecordBatch.from_arrays([known[c] for c in columns], names=list(columns))
 
     return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(released(run), schema)

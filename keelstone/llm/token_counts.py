@@ -99,7 +99,7 @@ def greedy(vocabulary: Pieces) -> Automaton:
     return Automaton({t: i for i, (t, k) in enumerate(zip(vocabulary.texts, vocabulary.kinds, strict=True)) if k == "n" and t})
 
 
-_mine: dict[int, dict[bytes, int]] = {}
+_mine: list[tuple[Automaton, dict[bytes, int]]] = []  # the automaton is held, so another one is never taken for it
 
 
 def count_tokens(docs: DataFrame, automaton: Automaton) -> DataFrame:
@@ -113,9 +113,9 @@ def count_tokens(docs: DataFrame, automaton: Automaton) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        if id(own) not in _mine:
-            _mine.clear()
-        known = _mine.setdefault(id(own), {})
+        if not _mine or _mine[0][0] is not own:
+            _mine[:] = [(own, {})]
+        known = _mine[0][1]
         for batch in batches:
             for part in pieces(batch, "text"):
                 words: list[bytes] = []

@@ -80,7 +80,20 @@ def test_tokenize(spark, vocabulary):
             ids, score = sp.solve_one((" " + text).replace(" ", "▁").encode(), vocabulary)
             assert ids == r.ids and abs(score - r.score) <= 1e-6 * abs(score) + 1e-6
     assert sp.tokenize(docs.limit(0), vocabulary).collect() == []
-    assert sp.tokenize(docs, vocabulary, results=False).where("same").count() == len(TEXTS) + 1
+    assert sp.tokenize(docs, vocabulary, ("doc_id", "ids_crc32", "text_crc32", "same")).where("same").count() == len(TEXTS) + 1
+
+
+def test_a_text_of_a_megabyte_without_spaces(spark, vocabulary):
+    import time
+
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdeéü漢") for _ in range(600_000))
+    start = time.time()
+    (row,) = sp.tokenize(spark.createDataFrame([(1, text)], "doc_id long, text string"), vocabulary).collect()
+    assert row.decoded == text and row.same and time.time() - start < 60
+    few = text[:400]
+    assert sp.solve_one(few.encode(), vocabulary)[0] == sp.solve([few[:150].encode(), few.encode()], vocabulary)[0][1].tolist()
+    assert tc.greedy(vocabulary).count([text.encode()])[0] == tc.greedy(vocabulary).count_one(text.encode())
 
 
 def brute(word: str, have: set[str]) -> int:
@@ -107,3 +120,8 @@ def test_greedy_counts(spark, vocabulary):
         counts = [brute("▁" + w, have) for w in re.findall(r"[^\x20\x09-\x0D]+", TEXTS[r.doc_id] or "")]
         assert (r.n_words, r.n_tokens, r.n_unknown) == (len(counts), sum(map(abs, counts)), sum(c < 0 for c in counts))
     assert tc.count_tokens(docs.limit(0), tc.greedy(vocabulary)).collect() == []
+    odd = spark.createDataFrame([(None, "ab ab", 0)] * 2 + [(3, None, 0), (4, "ab " * 50_000, 0)], "doc_id long, text string, n_tokens int")
+    one = brute("▁ab", have)
+    assert sorted(((r.doc_id or -1), r.n_words, r.n_tokens) for r in tc.count_tokens(odd, tc.greedy(vocabulary)).collect()) == [(-1, 2, 2 * one), (-1, 2, 2 * one), (3, 0, 0), (4, 50_000, 50_000 * one)]
+    small = tc.Automaton({t.encode(): i for i, t in enumerate(["▁", "a", "b"])})  # another vocabulary in the same workers
+    assert {r.doc_id: r.n_tokens for r in tc.count_tokens(odd, small).collect()}[4] == 150_000
