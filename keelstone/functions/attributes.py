@@ -35,6 +35,28 @@ def elements(values: Column, indexes: list[int]) -> Column:
     return F.array(*(F.get(values, F.lit(i)) if i in indexes else F.lit(None) for i in range(max(indexes) + 1)))
 
 
-def number_as_text(number: Column, scale: int = 2) -> Column:
-    """Plain digits, never an exponent."""
-    return number.cast(f"decimal(38,{scale})").cast("string")
+def as_set(values: Column) -> Column:
+    """A set as a list: each value once, in ascending order, nulls last."""
+    return F.array_sort(F.array_distinct(values))
+
+
+def number_as_text(number: Column, scale: int | None = None) -> Column:
+    """All digits of a number, never an exponent and no zeros that say nothing; with a scale, rounded to so many digits after the point.
+
+    Without a scale nothing is rounded: the digits are those Spark writes, moved to where the exponent says. NaN and infinities keep their names.
+    """
+    if scale is not None:
+        return number.cast(f"decimal(38,{scale})").cast("string")
+    text = number.cast("string")
+    sign, body = F.when(text.startswith("-"), "-").otherwise(""), F.regexp_replace(text, "^-", "")
+    mantissa, power = F.substring_index(body, "E", 1), F.coalesce(F.regexp_extract(body, "E([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+    whole = F.substring_index(mantissa, ".", 1)
+    digits = F.regexp_replace(mantissa, "[.]", "")
+    point, size = F.length(whole) + power, F.length(digits)
+    moved = (
+        F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+        .when(point >= size, F.concat(digits, F.repeat(F.lit("0"), point - size)))
+        .otherwise(F.concat(F.substr(digits, F.lit(1), point), F.lit("."), F.substr(digits, point + 1)))
+    )
+    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(moved, "([.][0-9]*?)0+$", "$1"), "[.]$", ""), "^0+(?=[0-9])", "")
+    return F.when(body.rlike("^[0-9]"), F.when(plain == "0", plain).otherwise(F.concat(sign, plain))).otherwise(text)

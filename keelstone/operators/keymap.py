@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from importlib import import_module
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
@@ -42,7 +43,13 @@ MAPPERS = {"length-split": LengthSplit, "length-split-both": LengthSplitBoth}
 
 
 def mapper(config: dict) -> KeyMapper:
-    """{"type": name, "length": n, "names": [...]}"""
+    """{"type": name, "length": n, "names": [...]} of a bundled mapper, or {"class": "package.module:Class", ...} with the arguments of a mapper of one's own."""
+    if "class" in config:
+        module, _, name = config["class"].partition(":")
+        own = getattr(import_module(module), name)(**{k: v for k, v in config.items() if k != "class"})
+        if not all(callable(getattr(own, m, None)) for m in ("hash_columns", "range_columns")):
+            raise TypeError(f"{config['class']} is no key mapper")
+        return own
     return MAPPERS[config["type"]](int(config["length"]), tuple(config["names"]))
 
 

@@ -13,6 +13,13 @@ NEGATED = {"=": "<>", "<>": "=", "<": ">=", ">=": "<", ">": "<=", "<=": ">"}
 MIRRORED = {"=": "=", "<>": "<>", "<": ">", ">": "<", "<=": ">=", ">=": "<="}
 
 
+def balanced(columns: list[Column], join) -> Column:
+    """All columns joined as a tree of logarithmic depth."""
+    while len(columns) > 1:
+        columns = [join(*columns[i : i + 2]) if i + 1 < len(columns) else columns[i] for i in range(0, len(columns), 2)]
+    return columns[0]
+
+
 class Predicate:
     def __and__(self, other: Predicate) -> Predicate:
         return And((self, other))
@@ -46,6 +53,20 @@ class Compare(Predicate):
         return f"{self.name} {self.op} {self.value!r}"
 
 
+@dataclass(frozen=True)
+class In(Predicate):
+    """attribute IN (literals), however many; of none it is false."""
+
+    name: str
+    values: tuple[Any, ...]
+
+    def column(self) -> Column:
+        return F.col(self.name).isin(list(self.values)) if self.values else F.lit(False)
+
+    def __str__(self) -> str:
+        return f"{self.name} IN ({', '.join(map(repr, self.values))})"
+
+
 @dataclass(frozen=True)
 class Exists(Predicate):
     """IS NOT NULL, or with absent IS NULL."""
@@ -91,10 +112,7 @@ class And(Predicate):
     parts: tuple[Predicate, ...]
 
     def column(self) -> Column:
-        out = self.parts[0].column()
-        for p in self.parts[1:]:
-            out = out & p.column()
-        return out
+        return balanced([p.column() for p in self.parts], lambda a, b: a & b)
 
     def __str__(self) -> str:
         return "(" + " AND ".join(map(str, self.parts)) + ")"
@@ -105,10 +123,7 @@ class Or(Predicate):
     parts: tuple[Predicate, ...]
 
     def column(self) -> Column:
-        out = self.parts[0].column()
-        for p in self.parts[1:]:
-            out = out | p.column()
-        return out
+        return balanced([p.column() for p in self.parts], lambda a, b: a | b)
 
     def __str__(self) -> str:
         return "(" + " OR ".join(map(str, self.parts)) + ")"
@@ -153,7 +168,7 @@ class attr:  # noqa: N801
         return And((self >= low, self <= high))
 
     def isin(self, *values) -> Predicate:
-        return Or(tuple(self == v for v in values)) if len(values) > 1 else self == values[0]
+        return In(self.name, tuple(values))
 
     def exists(self) -> Predicate:
         return Exists(self.name)
@@ -232,11 +247,42 @@ def _simple(tree: tuple[dict, list]):
             from decimal import Decimal
 
             return "value", Decimal(v)
-    if kind == "Cast" and (inner := _simple(children[0])) and inner[0] == "name":
-        return None  # a cast column compares in another domain: left to Spark
     return None
 
 
+WHOLE = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def _uncast(tree: tuple[dict, list], op: str, other: tuple[dict, list], types: dict[str, str]) -> tuple[str, Any] | None:
+    """The column under a cast and the literal it may be compared with instead, where that selects the same rows.
+
+    Safe are casts to the column's own type, of whole numbers to wider ones, and of whole numbers to text where = meets their only spelling. Nested
+    casts come off one by one. All others compare in another domain and are left to Spark.
+    """
+    value = _simple(other)
+    if not value or value[0] != "value":
+        return None
+    v = value[1]
+    while tree[0]["class"].rpartition(".")[2] == "Cast":
+        to, tree = str(tree[0]["dataType"]), tree[1][0]
+        to = {"integer": "int", "long": "bigint", "short": "smallint", "byte": "tinyint"}.get(to, to)
+        inner = tree
+        while inner[0]["class"].rpartition(".")[2] == "Cast":
+            inner = inner[1][0]
+        name = _simple(inner)
+        own = types.get(name[1]) if name and name[0] == "name" else None
+        if own is None:
+            return None
+        if own in WHOLE and to == "string":
+            if not (op == "=" and isinstance(v, str) and v.lstrip("-").isdecimal() and v.isascii() and str(int(v)) == v):
+                return None
+            v = int(v)
+        elif not (own == to or (own in WHOLE and WHOLE.get(to, 0) >= WHOLE[own])) or isinstance(v, str) != (own == "string"):
+            return None
+    name = _simple(tree)
+    return (name[1], v) if name and name[0] == "name" else None
+
+
 OPS = {"EqualTo": "=", "LessThan": "<", "LessThanOrEqual": "<=", "GreaterThan": ">", "GreaterThanOrEqual": ">="}
 
 
@@ -247,23 +293,24 @@ def _null(tree: tuple[dict, list]) -> bool:
     return _null(children[0]) if kind == "Cast" else kind == "Literal" and node["value"] is None
 
 
-def parse(spark: SparkSession, sql: str, explicit_nulls: bool = False) -> Predicate:
+def parse(spark: SparkSession, sql: str, explicit_nulls: bool = False, types: dict[str, str] | None = None) -> Predicate:
     """The predicate of an SQL condition. Spark's own parser reads it; parts outside the tree's forms stay opaque.
 
+    types: names and types of the columns (dict(df.dtypes)); with it casts of columns come off where that is safe, so a key stays a key.
     explicit_nulls: a = NULL, also a cast one, asks for an attribute that is there and null, as items can have it; in SQL it is never true.
     """
     expression = spark._jsparkSession.sessionState().sqlParser().parseExpression(sql)
-    return _convert(_tree(json.loads(expression.toJSON())), expression, explicit_nulls)
+    return _convert(_tree(json.loads(expression.toJSON())), expression, explicit_nulls, types or {})
 
 
-def _convert(tree: tuple[dict, list], source, nulls: bool) -> Predicate:
+def _convert(tree: tuple[dict, list], source, nulls: bool, types: dict[str, str]) -> Predicate:
     node, children = tree
     kind = node["class"].rpartition(".")[2]
     below = lambda i: source.children().apply(i)
     if kind in ("And", "Or"):
-        return (And if kind == "And" else Or)(tuple(_convert(c, below(i), nulls) for i, c in enumerate(children)))
+        return (And if kind == "And" else Or)(tuple(_convert(c, below(i), nulls, types) for i, c in enumerate(children)))
     if kind == "Not":
-        return Not(_convert(children[0], below(0), nulls))
+        return Not(_convert(children[0], below(0), nulls, types))
     if nulls and kind == "EqualTo":
         for a, b in (children, children[::-1]):
             if _null(b) and (x := _simple(a)) and x[0] == "name":
@@ -277,6 +324,10 @@ def _convert(tree: tuple[dict, list], source, nulls: bool) -> Predicate:
             return Compare(x, OPS[kind], y)
         if (a, b) == ("value", "name"):
             return Compare(y, MIRRORED[OPS[kind]], x)
+    if kind in OPS:
+        for (a, b), op in ((children, OPS[kind]), (children[::-1], MIRRORED[OPS[kind]])):
+            if a[0]["class"].endswith(".Cast") and (own := _uncast(a, op, b, types)):
+                return Compare(own[0], op, own[1])
     if kind == "In" and all(simple) and simple[0][0] == "name" and all(s[0] == "value" for s in simple[1:]):
         return attr(simple[0][1]).isin(*(v for _, v in simple[1:]))
     if kind in ("UnresolvedFunction", "Between") and "between" in str(node.get("nameParts", kind)).lower() and len(simple) == 3 and all(simple) and simple[0][0] == "name" and simple[1][0] == simple[2][0] == "value":

@@ -1,29 +1,10 @@
-"""Segmented scans: how many segments a table is read in, and the rows of one segment."""
+"""Segmented scans: the rows of one segment of a table, and the segment of each row."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MOST_SEGMENTS = 1_000_000
-
-
-@dataclass(frozen=True)
-class ScanOptions:
-    max_segments: int = 2**31 - 1
-    segments_per_endpoint: int = 10
-    rows_per_request: int = 100
-    rows_per_endpoint: int = 1000
-
-
-def plan_segments(items: int, table_bytes: int, endpoints: int, options: ScanOptions = ScanOptions()) -> tuple[int, int]:  # noqa: B008
-    """Number of segments and bytes in each, for a table of so many items read by so many endpoints."""
-    most = min(options.max_segments, MOST_SEGMENTS, options.segments_per_endpoint * endpoints)
-    n = max(1, min(items // endpoints // options.rows_per_endpoint, most))
-    return n, max(1, table_bytes // n)
-
 
 def segment(df: DataFrame, key: str, i: int, n: int) -> DataFrame:
     """Segment i of n: rows are dealt by the hash of their key, so all segments together are the table."""

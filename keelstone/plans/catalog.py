@@ -7,16 +7,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.attributes import attribute, attribute_exists, attribute_is_null, attribute_not_exists, element, elements, number_as_text
+from ..functions.attributes import as_set, attribute, attribute_exists, attribute_is_null, attribute_not_exists, element, elements, number_as_text
 from ..operators.access import classify, read
 from ..operators.item_filter import read_items
 from ..operators.keymap import LengthSplit, LengthSplitBoth, map_keys
 from ..operators.predicate import Opaque, Predicate, attr, parse
 from ..operators.segments import with_segment
+from ..sources.items import ItemSource
+from ..sources.layout import read_layout, write_layout
+from ..sources.shared import shared_path
 from ..sources.tables import STAR, Catalog, TableDef
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +79,54 @@ _keyed("col_eq_col", "lineitem", Opaque("l_partkey = l_suppkey"), LINES, "l_part
 _keyed("like_residual", "part", Opaque("p_name like '%a%'"), "p_partkey, p_name", "p_name like '%a%'")
 _keyed("not_residual", "orders", ~((attr("o_orderkey") <= 100) | (attr("o_orderstatus") == "O")), ORDERS, "not (o_orderkey <= 100 or o_orderstatus = 'O')")
 _keyed("in_list", "orders", attr("o_orderkey").isin(3, 5, 9, 70), ORDERS, "o_orderkey in (3, 5, 9, 70)")
+_keyed("in_list_large", "orders", attr("o_orderkey").isin(*range(1, 20_001, 2)), ORDERS, "o_orderkey % 2 = 1 and o_orderkey between 1 and 20000")
+_keyed("in_list_empty", "orders", attr("o_orderkey").isin(), ORDERS, "false")
+_keyed("in_list_not", "orders", ~attr("o_orderkey").isin(1, 2, 3), ORDERS, "o_orderkey not in (1, 2, 3)")
+
+
+# keyed layouts, file sources
+def _layout(name: str, table: str, predicate: Predicate, columns: str, sql: str, format: str = "parquet") -> None:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        tables, path = Catalog(spark, d), shared_path(spark, "layout")
+        own, df = tables.get(table), tables.load(table).select(*columns.split(", "))
+        write_layout(df, path, own, buckets=16, format=format)
+        return read_layout(spark, path, own, predicate, df.schema, buckets=16, format=format)
+
+    QUERIES[name], ORACLES[name] = run, f"select {columns} from {table} where {sql}"
+
+
+_layout("layout_get", "orders", attr("o_orderkey") == 42, ORDERS, "o_orderkey = 42")
+_layout("layout_multi_get", "orders", attr("o_orderkey").isin(*range(10, 400, 3)), ORDERS, "o_orderkey between 10 and 399 and (o_orderkey - 10) % 3 = 0")
+_layout("layout_query", "lineitem", (attr("l_orderkey") == 10) & (attr("l_linenumber") >= 2), "l_orderkey, l_linenumber, l_quantity", "l_orderkey = 10 and l_linenumber >= 2")
+_layout("layout_scan", "customer", attr("c_acctbal") > 0, "c_custkey, c_acctbal", "c_acctbal > 0", "json")
+
+
+@_query("json_source", "select c_custkey, c_name, c_acctbal from customer")
+def json_source(spark: SparkSession, d: str) -> DataFrame:
+    path, own = shared_path(spark, "json"), _table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
+    own.write.json(path)
+    return spark.read.schema(own.schema).json(path)
+
+
+def _item_files(spark: SparkSession, d: str, **options: str) -> DataFrame:
+    """conversations as JSON items in folders by conv_id, read through the Python source."""
+    tables, path = Catalog(spark, d), shared_path(spark, "items")
+    if not path.startswith("file:"):
+        raise ValueError("the item source reads files that all executors see: spark.checkpoint.dir must be such a folder")
+    write_layout(tables.load("conversations").select("conv_id", "turn", "role"), path, tables.get("conversations"), buckets=16, format="json")
+    spark.dataSource.register(ItemSource)
+    found = spark.read.format("keyed_items").options(path="/" + path[5:].lstrip("/"), hash="conv_id", range="turn", key_type="number", buckets="16", **options).load()
+    return found.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), attribute(F.parse_json("item"), "$.role", "string").alias("role"))
+
+
+@_query("item_source_scan", "select conv_id, turn, role from conversations")
+def item_source_scan(spark: SparkSession, d: str) -> DataFrame:
+    return _item_files(spark, d)
+
+
+@_query("item_source_key", "select conv_id, turn, role from conversations where conv_id = 3 and turn between 1 and 2")
+def item_source_key(spark: SparkSession, d: str) -> DataFrame:
+    return _item_files(spark, d, hash_value="3", range_from="1", range_to="2")
 
 
 @_query("transposed_compare", f"select {LINES} from lineitem where 45 < l_quantity")
@@ -87,6 +139,12 @@ def cast_column_compare(spark: SparkSession, d: str) -> DataFrame:
     return read(_table(spark, d, "orders"), parse(spark, "cast(round(o_totalprice) as bigint) >= 200000")).select(*ORDERS.split(", "))
 
 
+@_query("cast_key_compare", f"select {ORDERS} from orders where cast(o_orderkey as varchar) = '5' or cast(o_orderkey as decimal(38,0)) = 9")
+def cast_key_compare(spark: SparkSession, d: str) -> DataFrame:
+    own = _table(spark, d, "orders")
+    return read(own, parse(spark, "cast(o_orderkey as string) = '5' or cast(cast(o_orderkey as bigint) as bigint) = 9", types=dict(own.dtypes))).select(*ORDERS.split(", "))
+
+
 @_query("scan_full", "select count(*) as n, sum(l_orderkey) as keys, sum(l_linenumber)::bigint as numbers from lineitem")
 def scan_full(spark: SparkSession, d: str) -> DataFrame:
     return _table(spark, d, "lineitem").agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("keys"), F.sum("l_linenumber").alias("numbers"))
@@ -125,9 +183,30 @@ def list_indexes(spark: SparkSession, d: str) -> DataFrame:
     return own.select("vec_id", element(F.col("x"), 0).isNull().alias("gap"), element(F.col("x"), 2).alias("third"), element(F.col("x"), 5).alias("sixth"), F.size("x").alias("n"))
 
 
-@_query("number_as_text", "select o_orderkey, cast(cast(o_totalprice as decimal(18,2)) as varchar) as price from orders")
+@_query("number_as_text", "select o_orderkey, regexp_replace(cast(o_totalprice as varchar), '[.]0$', '') as price, cast(cast(o_totalprice as decimal(18,2)) as varchar) as rounded, (o_orderkey + 1) || '0000000000000000000000' as large from orders")
 def number_text(spark: SparkSession, d: str) -> DataFrame:
-    return _table(spark, d, "orders").select("o_orderkey", number_as_text(F.col("o_totalprice")).alias("price"))
+    price, large = F.col("o_totalprice"), F.concat((F.col("o_orderkey") + 1).cast("string"), F.lit("E22"))
+    return _table(spark, d, "orders").select("o_orderkey", number_as_text(price).alias("price"), number_as_text(price, 2).alias("rounded"), number_as_text(large).alias("large"))
+
+
+@_query("item_map_decode", "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k, 'k' as names from events")
+def item_map_decode(spark: SparkSession, d: str) -> DataFrame:
+    own = _table(spark, d, "events").select("event_id", F.parse_json("props").alias("item"))
+    own = own.select("event_id", attribute(F.col("item"), "$", "struct<k: bigint>").alias("m"), attribute(F.col("item"), "$", "map<string, bigint>").alias("names"))
+    return own.select("event_id", "m.k", F.array_join(F.map_keys("names"), ",").alias("names"))
+
+
+@_query("item_list_decode", "select vec_id, embedding[1] as a, embedding[3] as c, 3 as n from embeddings")
+def item_list_decode(spark: SparkSession, d: str) -> DataFrame:
+    text = F.to_json(F.struct(F.slice("embedding", 1, 3).alias("l")))
+    own = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", attribute(F.parse_json(text), "$.l", "array<double>").alias("l"))
+    return own.select("vec_id", element(F.col("l"), 0).cast("float").alias("a"), element(F.col("l"), 2).cast("float").alias("c"), F.size("l").alias("n"))
+
+
+@_query("item_set_decode", "select conv_id, array_to_string(list_sort(list_distinct(list(role))), ',') as roles from conversations group by conv_id")
+def item_set_decode(spark: SparkSession, d: str) -> DataFrame:
+    own = _table(spark, d, "conversations").groupBy("conv_id").agg(as_set(F.collect_list("role")).alias("roles"))
+    return own.select("conv_id", F.array_join("roles", ",").alias("roles"))
 
 
 @_query("mapper_hash_split", "select c_name, substr(c_name, 1, 9) as kind, substr(c_name, 10) as number from customer")
@@ -192,17 +271,43 @@ _drift("item_absent", attr("v").not_exists(), "event_id % 4 = 3")
 _drift("item_nested", (attr("w.x[1]") >= 6) & attr("w.x").exists(), "event_id % 4 = 3")
 
 
+# predicates over the items that the table has
+def _stored(name: str, predicate: Predicate, sql: str) -> None:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        items = _table(spark, d, "events").select("event_id", "user_id", F.parse_json("props").alias("item"))
+        return read_items(items, predicate, keys=("event_id", "user_id")).select("event_id")
+
+    QUERIES[name], ORACLES[name] = run, f"select event_id from events where {sql}"
+
+
+K = "cast(json_extract_string(props, '$.k') as bigint)"
+_stored("stored_number", attr("k") >= 50, f"{K} >= 50")
+_stored("stored_in", attr("k").isin(3, 7, 11), f"{K} in (3, 7, 11)")
+_stored("stored_key_and_number", (attr("user_id") == 3) & (attr("k") < 50), f"user_id = 3 and {K} < 50")
+_stored("stored_exists", attr("k").exists() & attr("other").not_exists(), f"{K} is not null")
+
+
 # segments, catalogue
 @_query("table_stats", " union all ".join(f"select '{t}' as name, count(*) as n from {t}" for t in sorted(t.name for t in STAR)))
 def table_stats(spark: SparkSession, d: str) -> DataFrame:
     return Catalog(spark, d).stats()
 
 
-@_query("explain_access")
+ASKED = [
+    ("orders", "o_orderkey = 1 or (o_orderkey = 2 and o_totalprice >= 2)", "Get(hash=1) + Query(hash=2, filter=o_totalprice >= 2)"),
+    ("lineitem", "l_orderkey = 10 and l_linenumber between 2 and 5", "Query(hash=10, range=l_linenumber BETWEEN 2 AND 5)"),
+    ("events", "user_id = 3 or event_type = 'error'", "Scan(filter=(user_id = 3 OR event_type = 'error'); a condition fixes no single hash key)"),
+    ("orders", "o_orderkey in (3, 4)", "Get(hash=3) + Get(hash=4)"),
+    ("orders", "cast(o_orderkey as string) = '5'", "Get(hash=5)"),
+]
+quoted = lambda row: "(" + ", ".join("'" + x.replace("'", "''") + "'" if x is not None else "cast(null as varchar)" for x in row) + ")"
+
+
+@_query("explain_access", f"select * from (values {', '.join(map(quoted, ASKED))}) as t(name, predicate, path)")
 def explain_access(spark: SparkSession, d: str) -> DataFrame:
     tables = Catalog(spark, d)
-    asked = [("orders", "o_orderkey = 1 or (o_orderkey = 2 and o_totalprice >= 2)"), ("lineitem", "l_orderkey = 10 and l_linenumber between 2 and 5"), ("events", "user_id = 3 or event_type = 'error'")]
-    return spark.createDataFrame([(t, p, classify(tables.get(t), parse(spark, p)).explain()) for t, p in asked], "name string, predicate string, path string")
+    paths = [(t, p, classify(tables.get(t), parse(spark, p, types=dict(tables.load(t).dtypes))).explain()) for t, p, _ in ASKED]
+    return spark.createDataFrame(paths, "name string, predicate string, path string")
 
 
 @_query("segment_scan", "select count(*) as n, sum(l_orderkey) as keys, 8::bigint as segments from lineitem")
@@ -211,7 +316,7 @@ def segment_scan(spark: SparkSession, d: str) -> DataFrame:
     return each.agg(F.sum("n").alias("n"), F.sum("keys").alias("keys"), F.count("*").alias("segments"))
 
 
-@_query("table_listing")
+@_query("table_listing", f"select * from (values {', '.join(quoted((t.name, t.hash_key, t.range_key)) for t in STAR)}) as t(name, hash_key, range_key)")
 def table_listing(spark: SparkSession, d: str) -> DataFrame:
     return Catalog(spark, d).listing()
 
@@ -265,3 +370,53 @@ _sql("scalar_functions","select n_nationkey, upper(n_name) as u, lower(n_name) a
 def window_frame(spark: SparkSession, d: str) -> DataFrame:
     w = Window.partitionBy("o_custkey").orderBy("o_orderkey").rowsBetween(-2, 0)
     return _table(spark, d, "orders").select("o_orderkey", F.count("*").over(w).alias("n"))
+
+
+_sql("join_non_equi", "select n_nationkey, r_regionkey from {nation} join {region} on n_nationkey < r_regionkey * 5")
+_sql("join_cross", "select n_nationkey, r_regionkey from {nation} cross join {region}")
+_sql("agg_approx_distinct", "select abs(approx_count_distinct(l_partkey, 0.01) - count(distinct l_partkey)) <= 0.05 * count(distinct l_partkey) as near from {lineitem}", "select true as near")
+_sql("agg_statistics", "select o_orderpriority, round(stddev_samp(o_totalprice), 4) as spread, min(o_totalprice) as low, max(o_totalprice) as high, round(percentile(o_totalprice, 0.5), 4) as middle from {orders} group by o_orderpriority", "select o_orderpriority, round(stddev_samp(o_totalprice), 4) as spread, min(o_totalprice) as low, max(o_totalprice) as high, round(quantile_cont(o_totalprice, 0.5), 4) as middle from orders group by o_orderpriority")
+_sql("date_functions", "select o_orderkey, year(o_orderdate) as y, month(o_orderdate) as m, date_format(o_orderdate, 'yyyy-MM-dd') as d, datediff(date_add(to_date(o_orderdate), 30), to_date(o_orderdate)) as gap, date_format(date_trunc('MONTH', o_orderdate), 'yyyy-MM-dd') as first from {orders}", "select o_orderkey, year(o_orderdate)::int as y, month(o_orderdate)::int as m, strftime(o_orderdate, '%Y-%m-%d') as d, 30 as gap, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') as first from orders")
+_sql("array_functions", "select p_partkey, size(split(p_name, ' ')) as n, array_join(array_sort(split(p_name, ' ')), ' ') as sorted, array_contains(split(p_name, ' '), 'red') as red, aggregate(sequence(1, p_size), 0, (a, x) -> a + x) as total from {part}", "select p_partkey, len(string_split(p_name, ' '))::int as n, array_to_string(list_sort(string_split(p_name, ' ')), ' ') as sorted, list_contains(string_split(p_name, ' '), 'red') as red, (p_size * (p_size + 1) // 2)::int as total from part")
+_sql("map_functions", "select n_nationkey, element_at(map('key', n_nationkey, 'region', n_regionkey), 'region') as region, cardinality(map('a', 1, 'b', n_nationkey)) as n, array_join(map_keys(map_filter(map('a', 1, 'b', n_nationkey), (k, v) -> v > 3)), ',') as above from {nation}", "select n_nationkey, n_regionkey as region, 2 as n, case when n_nationkey > 3 then 'b' else '' end as above from nation")
+_sql("regexp_functions", "select c_custkey, regexp_extract(c_name, '([0-9]+)$', 1) as digits, regexp_replace(c_name, '[0-9]+', '#') as plain, c_name rlike '1$' as one from {customer}", "select c_custkey, regexp_extract(c_name, '([0-9]+)$', 1) as digits, regexp_replace(c_name, '[0-9]+', '#') as plain, regexp_matches(c_name, '1$') as one from customer")
+_sql("math_functions", "select p_partkey, round(sqrt(p_retailprice), 6) as root, round(power(p_size, 2), 2) as square, p_size % 7 as rest, sign(p_size - 25) as side, greatest(p_size, 10) as most from {part}", "select p_partkey, round(sqrt(p_retailprice), 6) as root, round(power(p_size, 2), 2) as square, p_size % 7 as rest, sign(p_size - 25)::double as side, greatest(p_size, 10) as most from part")
+_sql("json_functions", "select event_id, get_json_object(props, '$.k') as k, json_array_length(concat('[', get_json_object(props, '$.k'), ', 1]')) as n from {events}", "select event_id, json_extract_string(props, '$.k') as k, 2 as n from events")
+
+
+# functions of one's own: in SQL, over Arrow batches, over groups, and one that makes rows
+@_query("udf_sql", "select o_orderkey, o_totalprice / 2 as half from orders")
+def udf_sql(spark: SparkSession, d: str) -> DataFrame:
+    spark.sql("create or replace temporary function half(x double) returns double return x / 2")
+    _table(spark, d, "orders").createOrReplaceTempView("udf_orders")
+    return spark.sql("select o_orderkey, half(o_totalprice) as half from udf_orders")
+
+
+@_query("udf_arrow", "select n_nationkey, length(n_name)::int as n from nation")
+def udf_arrow(spark: SparkSession, d: str) -> DataFrame:
+    @F.pandas_udf("int")
+    def size(names: pd.Series) -> pd.Series:
+        return names.str.len()
+
+    return _table(spark, d, "nation").select("n_nationkey", size("n_name").alias("n"))
+
+
+@_query("udaf_arrow", "select o_orderpriority, max(o_totalprice) - min(o_totalprice) as spread from orders group by o_orderpriority")
+def udaf_arrow(spark: SparkSession, d: str) -> DataFrame:
+    @F.pandas_udf("double")
+    def spread(prices: pd.Series) -> float:
+        return prices.max() - prices.min()
+
+    return _table(spark, d, "orders").groupBy("o_orderpriority").agg(spread("o_totalprice").alias("spread"))
+
+
+@_query("udtf", "select n_nationkey, unnest(range(1, n_regionkey + 1))::int as i from nation")
+def udtf(spark: SparkSession, d: str) -> DataFrame:
+    class Count:
+        def eval(self, n: int):
+            for i in range(1, n + 1):
+                yield (i,)
+
+    spark.udtf.register("count_to", F.udtf(Count, returnType="i int"))
+    _table(spark, d, "nation").createOrReplaceTempView("udtf_nation")
+    return spark.sql("select n_nationkey, i from udtf_nation, lateral count_to(n_regionkey)")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from keelstone.operators.access import classify, read
 from keelstone.operators.predicate import And, Compare, Not, Opaque, Or, attr, dnf, parse
-from keelstone.operators.segments import ScanOptions, plan_segments, segment
+from keelstone.operators.segments import segment
 from keelstone.sources.tables import TableDef
 
 H, R = TableDef("h", "pk"), TableDef("r", "pk", "sort")
@@ -32,6 +32,11 @@ pk, sort, c = attr("pk"), attr("sort"), attr("col1")
         (H, c.between(1, 10) & (c >= 4) & (c <= 7), "Scan(filter=col1 BETWEEN 4 AND 7; a condition fixes no single hash key)"),
         (H, (pk == "a") & ((c == 1) | (c == 2)), "Query(hash='a', filter=col1 = 1) + Query(hash='a', filter=col1 = 2)"),
         (R, (pk == "a") & (sort != "x"), "Query(hash='a', filter=sort <> 'x')"),
+        (H, pk.isin("a", "b", "a"), "Get(hash='a') + Get(hash='b')"),
+        (H, pk.isin("a", "b") & (pk == "b") & (c == 1), "Query(hash='b', filter=col1 = 1)"),
+        (R, pk.isin("a") & (sort == "x"), "Get(hash='a', range=sort = 'x')"),
+        (H, pk.isin("a") & c.isin(1, 2), "Query(hash='a', filter=col1 IN (1, 2))"),
+        (H, pk.isin(), "Scan(filter=pk IN (); a condition fixes no single hash key)"),
     ],
 )
 def test_paths(table, predicate, want):
@@ -53,6 +58,23 @@ def test_parse(spark):
     assert all(isinstance(parse(spark, t), Opaque) for t in ["a = b", "a like 'x%'", "cast(a as int) = 1", "a = cast(null as string)"])
 
 
+def test_casts_come_off_where_that_is_safe(spark):
+    types = {"pk": "bigint", "n": "int", "s": "string"}
+    own = lambda t: parse(spark, t, types=types)
+    assert own("cast(pk as string) = '5'") == (pk == 5) and own("cast(cast(n as bigint) as bigint) >= 3") == (attr("n") >= 3)
+    assert own("'x' = cast(s as string)") == (attr("s") == "x") and own("cast(n as bigint) < 3") == (attr("n") < 3)
+    for text in ["cast(pk as string) = '05'", "cast(pk as string) > '5'", "cast(pk as int) = 5", "cast(s as int) = 5", "cast(pk as double) = 5", "cast(other as string) = 'x'"]:
+        assert isinstance(own(text), Opaque), text
+
+
+def test_long_lists(spark):
+    keys = tuple(range(0, 20_000, 2))
+    df = spark.range(30_000).withColumnRenamed("id", "pk")
+    assert read(df, pk.isin(*keys)).count() == len(keys) and len(classify(H, pk.isin(*keys)).branches) == len(keys)
+    assert read(df, Or(tuple(pk == k for k in range(1500)))).count() == 1500
+    assert read(df, pk.isin()).count() == 0 and read(df, ~pk.isin(*keys)).count() == 20_000
+
+
 def random_predicate(rng, depth):
     if depth == 0 or rng.random() < 0.3:
         name, op = rng.choice(["pk", "sort", "x"]), rng.choice(["=", "=", "<>", "<", "<=", ">", ">="])
@@ -99,6 +121,3 @@ def test_segments(spark):
     df = spark.range(1000)
     parts = [segment(df, "id", i, 7) for i in range(7)]
     assert sum(p.count() for p in parts) == 1000 and sum(p.agg(F.sum("id")).first()[0] or 0 for p in parts) == 499_500
-    assert plan_segments(0, 0, 1) == (1, 1) and plan_segments(100_000, 1000, 2) == (20, 50)
-    assert plan_segments(10**9, 10**9, 10**6, ScanOptions(segments_per_endpoint=10**6))[0] == 1
-    assert plan_segments(50_000, 100, 5, ScanOptions(max_segments=3)) == (3, 33)
