@@ -47,16 +47,24 @@ def number_as_text(number: Column, scale: int | None = None) -> Column:
     """
     if scale is not None:
         return number.cast(f"decimal(38,{scale})").cast("string")
-    text = number.cast("string")
-    sign, body = F.when(text.startswith("-"), "-").otherwise(""), F.regexp_replace(text, "^-", "")
+    bound = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))  # noqa: E731  worked out once, however often f names it
+    return bound(number.cast("string"), lambda text: F.when(text.rlike("^-?[0-9]"), bound(_parts(text), _moved)).otherwise(text))
+
+
+def _parts(text: Column) -> Column:
+    """Sign, digits and the place of the point of a number as Spark writes it."""
+    body = F.regexp_replace(text, "^-", "")
     mantissa, power = F.substring_index(body, "E", 1), F.coalesce(F.regexp_extract(body, "E([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
-    whole = F.substring_index(mantissa, ".", 1)
-    digits = F.regexp_replace(mantissa, "[.]", "")
-    point, size = F.length(whole) + power, F.length(digits)
-    moved = (
+    point = F.length(F.substring_index(mantissa, ".", 1)) + power
+    return F.struct(F.when(text.startswith("-"), "-").otherwise("").alias("sign"), F.regexp_replace(mantissa, "[.]", "").alias("digits"), point.alias("point"))
+
+
+def _moved(x: Column) -> Column:
+    digits, point, size = x["digits"], x["point"], F.length(x["digits"])
+    plain = (
         F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
         .when(point >= size, F.concat(digits, F.repeat(F.lit("0"), point - size)))
         .otherwise(F.concat(F.substr(digits, F.lit(1), point), F.lit("."), F.substr(digits, point + 1)))
     )
-    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(moved, "([.][0-9]*?)0+$", "$1"), "[.]$", ""), "^0+(?=[0-9])", "")
-    return F.when(body.rlike("^[0-9]"), F.when(plain == "0", plain).otherwise(F.concat(sign, plain))).otherwise(text)
+    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(plain, "([.][0-9]*?)0+$", "$1"), "[.]$", ""), "^0+(?=[0-9])", "")
+    return F.regexp_replace(F.concat(x["sign"], plain), "^-0$", "0")

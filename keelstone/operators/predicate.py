@@ -20,6 +20,11 @@ def balanced(columns: list[Column], join) -> Column:
     return columns[0]
 
 
+def quoted(name: str) -> str:
+    """A column's name, perhaps dotted or quoted already, for SQL text."""
+    return name if "`" in name else ".".join(f"`{part}`" for part in name.split("."))
+
+
 class Predicate:
     def __and__(self, other: Predicate) -> Predicate:
         return And((self, other))
@@ -61,7 +66,15 @@ class In(Predicate):
     values: tuple[Any, ...]
 
     def column(self) -> Column:
-        return F.col(self.name).isin(list(self.values)) if self.values else F.lit(False)
+        if not self.values:
+            return F.lit(False)
+        kinds = {type(v) for v in self.values}
+        if len(self.values) > 16 and kinds <= {int} and all(abs(v) < 1 << 63 for v in self.values):
+            return F.expr(f"{quoted(self.name)} IN ({', '.join(f'{v}L' for v in self.values)})")  # parsed at once, not literal by literal
+        if len(self.values) > 16 and kinds <= {str}:
+            text = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+            return F.expr(f"{quoted(self.name)} IN ({', '.join(map(text, self.values))})")
+        return F.col(self.name).isin(list(self.values))
 
     def __str__(self) -> str:
         return f"{self.name} IN ({', '.join(map(repr, self.values))})"

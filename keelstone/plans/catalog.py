@@ -20,7 +20,7 @@ from ..operators.predicate import Opaque, Predicate, attr, parse
 from ..operators.segments import with_segment
 from ..sources.items import ItemSource
 from ..sources.layout import read_layout, write_layout
-from ..sources.shared import shared_path
+from ..sources.shared import local_path, shared_path
 from ..sources.tables import STAR, Catalog, TableDef
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,11 +111,11 @@ def json_source(spark: SparkSession, d: str) -> DataFrame:
 def _item_files(spark: SparkSession, d: str, **options: str) -> DataFrame:
     """conversations as JSON items in folders by conv_id, read through the Python source."""
     tables, path = Catalog(spark, d), shared_path(spark, "items")
-    if not path.startswith("file:"):
+    if not (files := local_path(spark, path)):
         raise ValueError("the item source reads files that all executors see: spark.checkpoint.dir must be such a folder")
     write_layout(tables.load("conversations").select("conv_id", "turn", "role"), path, tables.get("conversations"), buckets=16, format="json")
     spark.dataSource.register(ItemSource)
-    found = spark.read.format("keyed_items").options(path="/" + path[5:].lstrip("/"), hash="conv_id", range="turn", key_type="number", buckets="16", **options).load()
+    found = spark.read.format("keyed_items").options(path=files, hash="conv_id", range="turn", key_type="number", buckets="16", **options).load()
     return found.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), attribute(F.parse_json("item"), "$.role", "string").alias("role"))
 
 

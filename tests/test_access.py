@@ -72,6 +72,9 @@ def test_long_lists(spark):
     df = spark.range(30_000).withColumnRenamed("id", "pk")
     assert read(df, pk.isin(*keys)).count() == len(keys) and len(classify(H, pk.isin(*keys)).branches) == len(keys)
     assert read(df, Or(tuple(pk == k for k in range(1500)))).count() == 1500
+    texts = ["it's", "a\\b", "", "%"] + [f"k{i}" for i in range(30)]
+    odd = spark.createDataFrame([(t,) for t in [*texts, "no", "itXs"]], "`a b` string")
+    assert read(odd, attr("a b").isin(*texts)).count() == len(texts)
     assert read(df, pk.isin()).count() == 0 and read(df, ~pk.isin(*keys)).count() == 20_000
 
 
