@@ -377,7 +377,7 @@ _mine: dict[str, Tokens] = {}
 def write(docs: DataFrame, tokenizer: str, path: str, parts: int | None = None, codec: bool = True) -> None:
     """Writes the ids of all texts, in ascending doc_id order, to path: part p holds a range of ids, seq numbers its rows.
 
-    Null texts are empty (one id, the end). Rows without an id come first; rows that repeat an id stand by their text.
+    Null texts are empty (one id, the end). Rows without an id come first; rows that repeat an id stand by the hash of their text. No rows: no files but an empty table.
     """
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -404,7 +404,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, parts: int | None = None,
         if held:
             yield file()
 
-    docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").repartitionByRange(parts, "doc_id", "text").sortWithinPartitions("doc_id", "text").mapInArrow(run, SCHEMA).write.parquet(path)
+    docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").withColumn("tie", F.xxhash64("text")).repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie").mapInArrow(run, SCHEMA).write.parquet(path)
 
 
 def read(spark, path: str) -> DataFrame:
@@ -438,7 +438,11 @@ def _read(spark, path: str, digest: bool) -> DataFrame:
 
 
 def stored(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every row, from files written to the shared folder and read back."""
+    """doc_id, start, n_tokens, ids_crc32 of every row, from files written to the shared folder and read back.
+
+    A null or empty text is one id, the end. Rows without an id stand first; rows may repeat, each stands for itself. Texts may be of any
+    length: a row of the files then holds more than FILE_IDS ids. An empty table gives no rows. Other columns are not read.
+    """
     path = f"{shared_dir(docs.sparkSession)}/ids-{uuid.uuid4().hex}"
     write(docs, tokenizer, path)
     return _read(docs.sparkSession, path, True)

@@ -67,8 +67,41 @@ def test_unseen_changes_and_unknown_text():
                 w = t.split()
                 if len(w) > 7:
                     w[rng.randrange(len(w))] = "changed"
-                guess, sure, _ = model.predict(ls.hashes([" ".join(lines(1, rng.random()) + w)])[0])
-                right += guess == family and sure >= 0.5
-                total += 1
+                h = ls.hashes([" ".join(lines(1, rng.random()) + w)])[0]
+                guess, sure, _ = model.predict(h)
+                number = ls.TEMPLATES[family].index(t)
+                told = all(ls.np.isin(x, ls.pairs(h)).mean() >= ls.LIKENESS for x in model.telling[family][number])
+                assert told or guess in (family, ls.UNKNOWN)  # the word that tells it from its like was changed: never another licence
+                right += told and guess == family and sure >= 0.5
+                total += told
     assert right >= 0.95 * total
     assert sum(model.predict(h)[1] >= 0.5 for h in ls.hashes(lines(300, 77))) <= 3
+
+
+def test_licences_that_are_alike():
+    model = ls.train(lines(500, 1))
+    gnu = "This library is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    cases = {
+        gnu.format("Lesser General Public License", "2.1"): {"LGPL-2.1"}, gnu.format("General Public License", "2"): {"GPL-2.0"}, gnu.format("General Public License", "3"): {"GPL-3.0"}, gnu.format("Affero General Public License", "3"): {"AGPL-3.0"},
+        gnu.format("Free Documentation License", "1.3"): set(), gnu.format("General Public License", "9"): set(), "SPDX-License-Identifier: MIT": {"MIT"}, "// SPDX-License-Identifier: GPL-2.0-only": {"GPL-2.0"}, "SPDX-License-Identifier: Zlib": set(),
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:": {"BSD"}, "Released under the BSD 2-Clause License": {"BSD-2-Clause"},
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.": {"ISC"},
+        "This is free and unencumbered software released into the public domain.": {"Unlicense"}, "Licensed under CC BY-ND 4.0": set(), "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License": set(),
+    }
+    for text, want in cases.items():
+        (h,) = ls.hashes([text])
+        family, sure, like = model.predict(h)
+        assert ({family} - {ls.UNKNOWN} if sure >= ls.CHANCE else set()) == want, (text, family, sure, like)
+
+
+def test_likeness_and_features_are_what_counting_says():
+    model, rng = ls.train(lines(50, 3)), random.Random(4)
+    words = lambda t: "".join(c if c.isalnum() else " " for c in t.lower()).split()
+    for family, ts in ls.TEMPLATES.items():
+        for number, t in enumerate(ts):
+            text = " ".join(w for w in words(t) if rng.random() < 0.9)
+            own, have = words(t), set(zip(words(text), words(text)[1:]))
+            every = set(zip(own, own[1:]))
+            got = model.likeness(family, number, ls.distinct(ls.pairs(ls.hashes([text])[0])), 0.0)
+            assert abs(got - len(every & have) / len(every)) < 1e-9
+            assert int((model.features(ls.hashes([text])[0])[:-2] > 0).sum()) == len(set(words(text))) + len(have & {p for ks in ls.TEMPLATES.values() for x in ks for p in zip(words(x), words(x)[1:])})
