@@ -104,7 +104,7 @@ class Classifier:  # telling: of each template the pairs that tell it from each
         return np.where(self.vocabulary[at] == x, at, -1)
 
     def predict(self, h: np.ndarray, least: float = LIKENESS) -> tuple[str, float, float]:
-        """Family, calibrated chance and likeness of a paragraph: of the window that is most surely of a licence. No lead, or no template confirmed: unknown."""
+        """Family, calibrated chance and likeness of a paragraph: of the window that is most surely of a licence. No lead, or no template confirmed: unknown, with the chance of the likeliest."""
         step = WINDOW // 2
         rows = [h[a : a + WINDOW] for a in range(0, max(1, len(h) - step), step)]
         p = chances(np.stack([self.features(r) for r in rows]) @ self.weights / self.temperature)
@@ -113,7 +113,7 @@ class Classifier:  # telling: of each template the pairs that tell it from each
         have = distinct(pairs(h))
         family = self.families[k]
         like = max(self.likeness(family, i, have, least) for i in range(len(self.templates[family])))
-        return (family, float(p[best, k]), like) if like >= least and self.sure(p[best, 1:]) else (UNKNOWN, float(p[best, 0]), like)
+        return family if like >= least and self.sure(p[best, 1:]) else UNKNOWN, float(p[best, k]), like
 
 
     def notices(self, h: np.ndarray, row: np.ndarray, places: np.ndarray, chance: float, likeness: float) -> Iterator[tuple[str, float, float, int, int]]:
