@@ -2,8 +2,9 @@
 
 For every language a suffix automaton of labelled text is built. A text is cut greedily into the longest phrases that
 occur in a language's text; the language in which it needs the fewest phrases, each weighed by the bits that name a place in
-that language's text, wins. Texts are read as runs of lower-case letters with one space between; they are parsed in windows of
-WINDOW characters, all windows of a batch step by step together, so each character costs a few array steps.
+that language's text, wins. Texts are read as runs of lower-case letters with one space between. They are parsed in windows of
+WINDOW characters, all windows of a batch step by step together, so each character costs a few array steps; windows are then
+joined, so the phrases are those of the whole text.
 """
 
 from __future__ import annotations
@@ -20,13 +21,14 @@ from .common import pieces, released
 
 WINDOW = 512
 PIECE_BYTES = 2 << 20
-TRAIN_ROWS, TRAIN_CHARS = 200, 60_000
+TRAIN_ROWS, TRAIN_CHARS, CELLS = 200, 60_000, 8_000_000
+NO_LANGUAGE, UNSEEN, LEEWAY = 7.0, 10, 1.3
 SCHEMA = "doc_id long, lang_pred string, score double, phrase_rate double"
 UNKNOWN = 1  # code of a letter that no language has; 0 pads
 
 
-def suffix_automaton(text: np.ndarray, symbols: int) -> np.ndarray:
-    """Transitions [state, symbol] of the automaton of all substrings; state 1 is the start, 0 means there is none."""
+def suffix_automaton(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Transitions (states, symbols, next states) of the automaton of all substrings; state 1 is the start, 0 means there is none."""
     edges: list[dict[int, int]] = [{}, {}]
     link, size, last = [0, 0], [0, 0], 1
     for c in text.tolist():
@@ -52,10 +54,37 @@ def suffix_automaton(text: np.ndarray, symbols: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = twin
         last = new
-    out = np.zeros((len(edges), symbols), np.int32)
     rows = np.repeat(np.arange(len(edges)), [len(e) for e in edges])
-    out[rows, np.fromiter((c for e in edges for c in e), np.int64, len(rows))] = np.fromiter((t for e in edges for t in e.values()), np.int64, len(rows))
-    return out
+    return rows, np.fromiter((c for e in edges for c in e), np.int64, len(rows)), np.fromiter((t for e in edges for t in e.values()), np.int64, len(rows))
+
+
+class Automaton:
+    """Transitions looked up for many states at once: in a table of all cells where it has CELLS of them at most, else among the sorted ones that exist."""
+
+    def __init__(self, text: np.ndarray, symbols: int):
+        rows, columns, to = suffix_automaton(text)
+        self.symbols, self.states = symbols, int(max(rows.max(initial=1), to.max(initial=1))) + 1
+        keys = rows * symbols + columns
+        order = np.argsort(keys)
+        self.keys, self.to = keys[order], to[order].astype(np.int32)
+        self.first = np.zeros(symbols, np.int64)
+        self.first[columns[rows == 1]] = to[rows == 1]
+        self._table: np.ndarray | None = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"_table": None}
+
+    def step(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The next states, 0 where there is none."""
+        key = state * self.symbols + c
+        if self.states * self.symbols <= CELLS:
+            if self._table is None:
+                self._table = np.zeros(self.states * self.symbols, np.int32)
+                self._table[self.keys] = self.to
+            return self._table[key]
+        at = np.searchsorted(self.keys, key)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == key, self.to[at], 0) if len(self.keys) else np.zeros(len(key), np.int32)
 
 
 class Model:
@@ -68,21 +97,13 @@ class Model:
         code = {" ": 2} | {c: i for i, c in enumerate(self.alphabet, 3)}
         self.symbols = len(code) + 2
         coded = {k: np.array([code[c] for c in joined[k]], np.int64) for k in self.languages}
-        self.automata = [suffix_automaton(coded[k], self.symbols) for k in self.languages]
+        self.automata = [Automaton(coded[k], self.symbols) for k in self.languages]
         self.bits = np.array([math.log2(len(coded[k]) + 1) for k in self.languages])
+        self.limits: dict[str, float] = {}
         self._table: np.ndarray | None = None
 
     def __getstate__(self):
-        sparse = [(a.shape, *(x.astype(np.int32) for x in np.nonzero(a)), a[a > 0]) for a in self.automata]
-        return self.__dict__ | {"automata": sparse, "_table": None}
-
-    def __setstate__(self, state):
-        self.__dict__ = dict(state)
-        self.automata = []
-        for shape, rows, columns, values in state["automata"]:
-            out = np.zeros(shape, np.int32)
-            out[rows, columns] = values
-            self.automata.append(out)
+        return self.__dict__ | {"_table": None}
 
     def codes(self, text: str) -> np.ndarray:
         """The text as codes: a space first and last, and single spaces between runs of letters."""
@@ -94,25 +115,49 @@ class Model:
         space = out == 2
         return out[np.concatenate([[True], ~(space[1:] & space[:-1])])]
 
-    def phrases(self, windows: np.ndarray) -> np.ndarray:
-        """Phrases [language, window] of the rows of codes, whose tails are 0."""
+    def phrases(self, windows: np.ndarray, goes_on: np.ndarray | None = None) -> np.ndarray:
+        """Phrases [language, window] that start in the rows of codes, whose tails are 0. goes_on: the row continues the one before it.
+
+        All rows are parsed side by side, each as if a text began there. A row that goes on is then parsed again from the state in which the row before
+        it ended, until both parses stand in the same state and agree from there on: mostly some characters.
+        """
         sizes = (windows > 0).sum(1)
         order = np.argsort(-sizes, kind="stable")
         columns = np.ascontiguousarray(windows[order].T)
-        sizes = sizes[order]
-        alive = np.searchsorted(-sizes, -np.arange(len(columns)), "left")  # windows longer than each position
+        alive = np.searchsorted(-sizes[order], -np.arange(len(columns)), "left")  # windows longer than each position
         out = np.zeros((len(self.automata), len(windows)), np.int64)
         for k, automaton in enumerate(self.automata):
-            edges, width = automaton.ravel(), self.symbols
-            first = edges[width : 2 * width]
             state, n = np.zeros(len(windows), np.int64), np.zeros(len(windows), np.int64)
             for p, m in enumerate(alive.tolist()):
                 c = columns[p, :m]
-                to = edges[state[:m] * width + c]
+                to = automaton.step(state[:m], c)
                 stuck = to == 0
                 n[:m] += stuck
-                state[:m] = np.where(stuck, first[c], to)
-            out[k, order] = n
+                state[:m] = np.where(stuck, automaton.first[c], to)
+            n[order], end = n.copy(), np.zeros(len(windows), np.int64)
+            end[order] = state
+            begin = np.zeros(len(windows), np.int64)
+            todo = np.flatnonzero(goes_on) if goes_on is not None else np.zeros(0, np.int64)
+            while len(todo := todo[end[todo - 1] != begin[todo]]):
+                own, was, rows, p, changed = end[todo - 1], begin[todo], todo, 0, []
+                begin[todo] = own
+                while len(rows):
+                    done = sizes[rows] == p
+                    if done.any():
+                        end[rows[done]] = own[done]
+                        changed.append(rows[done] + 1)
+                        rows, own, was = rows[~done], own[~done], was[~done]
+                        continue
+                    c = windows[rows, p]
+                    to, other = automaton.step(own, c), automaton.step(was, c)
+                    n[rows] += (to == 0).astype(np.int64) - (other == 0)
+                    own, was = (np.where(x == 0, automaton.first[c], x) for x in (to, other))
+                    apart = own != was
+                    rows, own, was, p = rows[apart], own[apart], was[apart], p + 1
+                todo = np.unique(np.concatenate([np.zeros(0, np.int64), *changed]))
+                todo = todo[todo < len(windows)]
+                todo = todo[goes_on[todo]]
+            out[k] = n
         return out
 
     def rates(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -129,25 +174,28 @@ class Model:
         out = np.full((len(texts), len(self.languages)), np.inf)
         if rows:
             n = np.zeros((len(texts), len(self.languages)))
-            np.add.at(n, rows, self.phrases(np.concatenate(parts)).T)
+            rows = np.array(rows)
+            goes_on = np.concatenate([[False], rows[1:] == rows[:-1]])
+            np.add.at(n, rows, self.phrases(np.concatenate(parts), goes_on).T)
             out[known] = n[known] * self.bits / sizes[known, None]
         return out, known
 
 
-def sample(docs: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> dict[str, str]:
-    """Labelled text of every language: about `rows` rows with the lowest hashes of their ids, up to `chars` characters in all."""
+def sample(docs: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> dict[str, list[str]]:
+    """Labelled texts of every language: of about `rows` rows with the lowest hashes a run of up to chars / rows characters each, anywhere in the text."""
     some = docs.where("lang is not null and text is not null and length(text) > 0")
     counts = {r["lang"]: r["n"] for r in some.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return {}
+    most = max(1, chars // rows)
     chance = F.create_map(*(x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, rows / n)))))[F.col("lang")]
     drawn = F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id"), F.col("text")), F.lit(1 << 40)) / float(1 << 40)
-    own = some.where((drawn <= chance)).select("lang", drawn.alias("d"), F.substring("text", 1, max(1, 8 * chars // rows)).alias("t"))
-    out: dict[str, str] = {}
+    start = F.pmod(F.xxhash64(F.lit("start"), F.col("doc_id"), F.col("text")), F.greatest(F.length("text") - most + 1, F.lit(1)).cast("long"))
+    own = some.where((drawn <= chance)).select("lang", drawn.alias("d"), F.substr("text", (start + 1).cast("int"), F.lit(most)).alias("t"))
+    out: dict[str, list[str]] = {}
     for r in sorted(own.collect(), key=lambda r: (r["lang"], r["d"], r["t"])):
-        if len(out.get(r["lang"], "")) < chars:
-            out[r["lang"]] = (out.get(r["lang"], "") + "\n" + r["t"])[:chars]
-    return {k: v for k, v in out.items() if any(c.isalpha() for c in v)}
+        out.setdefault(r["lang"], []).append(r["t"])
+    return {k: v for k, v in out.items() if any(c.isalpha() for t in v for c in t)}
 
 
 def identify(docs: DataFrame, model: Model | None, schema: str = SCHEMA, keep=None) -> DataFrame:
@@ -185,5 +233,26 @@ def identify(docs: DataFrame, model: Model | None, schema: str = SCHEMA, keep=No
 
 
 def train(docs: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Model | None:
+    """The model of about `rows` rows and `chars` characters a language, None where there is no labelled text. One row in UNSEEN sets the limits alone."""
     texts = sample(docs, rows, chars)
-    return Model(texts) if texts else None
+    if not texts:
+        return None
+    enough = {k: len(v) >= 2 * UNSEEN for k, v in texts.items()}
+    model = Model({k: "\n".join(t for i, t in enumerate(v) if i % UNSEEN or not enough[k]) for k, v in texts.items()})
+    for i, k in enumerate(model.languages):
+        rates = model.rates(texts[k][::UNSEEN])[0][:, i] if enough[k] else np.zeros(0)
+        rates = rates[np.isfinite(rates)]
+        model.limits[k] = max(NO_LANGUAGE, LEEWAY * float(np.median(rates))) if len(rates) else NO_LANGUAGE
+    return model
+
+
+def in_a_language(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of docs whose text has a letter and needs no more bits a character than its language's limit.
+
+    The limit is NO_LANGUAGE, phrases of two letters or so; where a language's own texts that training didn't see need that much, as those of a
+    large alphabet do, it is LEEWAY times their median. With nothing to learn from, rows with a letter.
+    """
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    limits = model.limits
+    return identify(docs, model, keep=lambda names, _, rates: np.array([k != "und" and not r > limits[k] for k, r in zip(names, rates, strict=True)], bool))

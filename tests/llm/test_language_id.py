@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from keelstone.llm import language_id as lid
 
@@ -40,6 +41,25 @@ def test_phrases_are_the_greedy_parse(monkeypatch):
             assert got[k, i] == brute(plain, again[lang])
 
 
+@pytest.mark.parametrize("window, cells", [(1, 0), (3, 1 << 30), (16, 0), (512, 0)])
+def test_windows_make_no_difference(monkeypatch, window, cells):
+    monkeypatch.setattr(lid, "WINDOW", window)
+    monkeypatch.setattr(lid, "CELLS", cells)
+    rng = random.Random(6)
+    make = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    own = {"x": make("ab ", 60) + "a" * 50, "y": make("bcd ", 200)}
+    model = lid.Model(own)
+    again = {k: " " + " ".join(v.split()) + " " for k, v in own.items()}
+    texts = [make("abcdq ", rng.randint(1, 90)) for _ in range(80)] + ["a" * 300, "a" * 49, again["y"].strip() * 3, None, "1"]
+    rates, known = model.rates(texts)
+    for i, t in enumerate(texts):
+        plain = " ".join((t or "").replace("1", " ").split())
+        assert known[i] == bool(plain)
+        for k, lang in enumerate("xy"):
+            if plain:
+                assert round(rates[i, k] * (len(plain) + 2) / model.bits[k], 6) == brute(f" {plain} ", again[lang])
+
+
 def words(kind: str, n: int, seed: int) -> str:
     own = {"en": ["the", "and", "thing", "weather"], "fr": ["été", "être", "leçon", "chaud"]}[kind]
     rng = random.Random(seed)
@@ -60,6 +80,19 @@ def test_accuracy_and_odd_rows(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count() - 4
 
 
+def test_a_language_of_many_letters_stays(spark):
+    rng = random.Random(8)
+    han = [chr(0x4E00 + i) for i in range(3000)]
+    own = lambda n: "".join(rng.choice(han) + rng.choice(han[:40]) for _ in range(n))
+    rows = [(i, own(150) if i % 2 else words("en", 60, i), "zh" if i % 2 else "en", "", "") for i in range(160)]
+    rows += [(900, own(200), None, "", ""), (901, "кот " * 50, None, "", ""), (902, words("en", 50, 1), None, "", ""), (903, None, "en", "", ""), (904, "7", "en", "", "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = lid.train(docs)
+    assert model.limits["zh"] > model.limits["en"] == lid.NO_LANGUAGE
+    assert {r.doc_id for r in lid.in_a_language(docs, model).collect()} == {i for i, *_ in rows} - {901, 903, 904}
+    assert {r.doc_id for r in lid.in_a_language(docs, None).collect()} == {i for i, *_ in rows} - {903, 904}
+
+
 def test_nothing_to_learn(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert lid.train(empty) is None
