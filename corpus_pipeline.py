@@ -3,25 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from keelstone.llm import decontamination, language_id, ngram_join, sentence_pieces
 from keelstone.llm.common import drop, staged
 from keelstone.llm.queries import vocabulary_path
 
-#: Bits per character in the best language at which a text is in none of them: phrases of two letters or so.
-NO_LANGUAGE = 7.0
-
-
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text has a letter and parses into phrases of a learned language; with nothing to learn from, rows with a letter.
 
     Null and empty texts go. Rows may repeat, ids may be null; whole texts are read, however long. An empty table gives no rows.
     """
-    model = language_id.train(docs)
-    if model is None:
-        return docs.where(F.col("text").rlike(r"\p{L}"))
-    return language_id.identify(docs, model, keep=lambda names, _, rates: (names != "und") & ~(rates > NO_LANGUAGE))
+    return language_id.in_a_language(docs, language_id.train(docs))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
