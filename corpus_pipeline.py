@@ -8,6 +8,7 @@ from keelstone.llm import decontamination, language_id, ngram_join, sentence_pie
 from keelstone.llm.common import drop, staged
 from keelstone.llm.queries import vocabulary_path
 
+
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text has a letter and parses into phrases of a learned language; with nothing to learn from, rows with a letter.
 
