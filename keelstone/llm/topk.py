@@ -8,7 +8,8 @@ so far are non-essential. A block's candidates come from the essential postings
 bound down while a candidate can still compete, then the lowering terms finish the exact score. The shards' best k of each query
 are merged by Spark.
 
-Queries travel as blocks of bounded size; there is a pass over the candidates for each block.
+Queries and candidates meet in tiles: a shard of bounded size and a block of queries, which are read one batch after the other.
+A shard travels once for each block of queries, a query once for each shard; the driver sees neither.
 """
 
 from __future__ import annotations
@@ -22,9 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .common import drop, staged
+
 SCHEMA = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("rank", T.IntegerType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.LongType())])
 BLOCK = 1024
 LARGEST = 1 << 26
+MOST_TASKS = 1 << 15
 
 
 class Shard:
@@ -92,12 +96,15 @@ class Shard:
 
 
 def matrix(column: pa.Array, dims: int) -> np.ndarray:
+    """The first dims components of each row, zeros where a row has fewer."""
     values = np.asarray(column.flatten(), dtype=np.int64)
     sizes = np.asarray(column.value_lengths(), dtype=np.int64)
     out = np.zeros((len(sizes), dims), np.int64)
     if len(values):
         rows = np.repeat(np.arange(len(sizes)), sizes)
-        out[rows, np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = values
+        places = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        first = places < dims
+        out[rows[first], places[first]] = values[first]
     return out
 
 
@@ -117,50 +124,50 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, query_block: int =
     pass 64 bits. An empty table gives no rows.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), whole(F.col("embedding")).alias("v"), queries.alias("q")).where("vec_id is not null and v is not null")
-    count, dims, most = rows.agg(F.count(F.when(F.col("q"), 1)), F.max(F.when(F.col("q"), F.size("v"))), F.max(F.greatest(F.array_max(F.transform("v", F.abs)), F.lit(0)))).first()
-    if not count:
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), whole(F.col("embedding")).alias("v"), F.coalesce(queries, F.lit(False)).alias("q")).where("vec_id is not null and v is not null")
+    rows = staged(rows, "topk-vectors")  # row numbers of the written table are the same in every attempt
+    total, count, dims, most = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("q"), 1)), F.max(F.when(F.col("q"), F.size("v"))), F.max(F.greatest(F.array_max(F.transform("v", F.abs)), F.lit(0)))).first()
+    if not count or most >= LARGEST:
+        drop(rows)
+        if count:
+            raise ValueError(f"a component of {most} after scaling passes {LARGEST}")
         return spark.createDataFrame([], SCHEMA)
-    if most >= LARGEST:
-        raise ValueError(f"a component of {most} after scaling passes {LARGEST}")
-    asked = rows.where("q").select("vec_id", "v").distinct()
-    blocks = -(-count // query_block)
-    out = None
-    for b in range(blocks):
-        own = asked.where(F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)) == b) if blocks > 1 else asked
-        got = own.toArrow().combine_chunks()
-        ids = np.asarray(got.column("vec_id").to_numpy(), dtype=np.int64)
-        order = np.argsort(ids, kind="stable")
-        column = got.column("v").combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int64()))
-        block = spark.sparkContext.broadcast((ids[order], matrix(column, max(dims, 1))[order]))
-        part = rows.select("vec_id", "v").mapInArrow(_searcher(block, b, k, shard_rows), "query_id long, copy long, vec_id long, score long")
-        out = part if out is None else out.unionByName(part)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards, blocks = max(-(-total // shard_rows), min(parts, -(-total // BLOCK))), -(-count // query_block)
+    number, small = F.xxhash64(F.monotonically_increasing_id()), F.col("v").cast("array<int>").alias("v")
+    asked = staged(rows.where("q").select("vec_id", "v").distinct(), "topk-queries").select("vec_id", small, F.monotonically_increasing_id().alias("copy"))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("copy"), F.lit(blocks))).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    held = rows.select("vec_id", small, F.lit(-1).cast("long").alias("copy"), F.pmod(number, F.lit(shards)).alias("shard")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    tile = (F.col("block").cast("long") * shards + F.col("shard")).alias("tile")
+    both = held.select(tile, F.lit(0).alias("kind"), "copy", "vec_id", "v").union(asked.select(tile, F.lit(1).alias("kind"), "copy", "vec_id", "v"))
+    both = both.repartitionById(min(blocks * shards, MOST_TASKS), F.pmod("tile", F.lit(MOST_TASKS)).cast("int")).sortWithinPartitions("tile", "kind")
+    out = both.mapInArrow(_searcher(max(dims, 1), k), "query_id long, copy long, vec_id long, score long")
     first = Window.partitionBy("query_id", "copy").orderBy(F.desc("score"), "vec_id")
     return out.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _searcher(block, number: int, k: int, shard_rows: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries, wanted = block.value
-        dims = wanted.shape[1]
+def _searcher(dims: int, k: int):
+    """Of rows (tile, kind, copy, vec_id, v) in order of tile and kind, each tile's best k of every query (kind 1) among its candidates (kind 0)."""
 
-        def answers(ids: list[np.ndarray], rows: list[np.ndarray]) -> pa.RecordBatch:
-            shard = Shard(np.concatenate(ids), np.concatenate(rows))
-            found = [shard.best(q, w, k) for q, w in zip(queries, wanted, strict=True)]
-            sizes = [len(x) for x, _ in found]
-            copies = np.repeat(np.arange(len(queries)) + number * (1 << 32), sizes)
-            return pa.RecordBatch.from_arrays([pa.array(np.repeat(queries, sizes)), pa.array(copies), pa.array(np.concatenate([x for x, _ in found])), pa.array(np.concatenate([s for _, s in found]))], names=["query_id", "copy", "vec_id", "score"])
-
-        ids, rows, held = [], [], 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, shard = None, None
+        ids: list[np.ndarray] = []
+        vectors: list[np.ndarray] = []
         for batch in batches:
-            vectors = matrix(batch.column("v"), dims=max(dims, int(np.asarray(batch.column("v").value_lengths()).max(initial=0))))[:, :dims]
-            ids.append(np.asarray(batch.column("vec_id"), dtype=np.int64))
-            rows.append(vectors)
-            held += len(vectors)
-            if held >= shard_rows:
-                yield answers(ids, rows)
-                ids, rows, held = [], [], 0
-        if held and len(queries):
-            yield answers(ids, rows)
+            tile, kind, copy, own = (np.asarray(batch.column(c), dtype=np.int64) for c in ("tile", "kind", "copy", "vec_id"))
+            cuts = np.flatnonzero(np.concatenate([[True], (tile[1:] != tile[:-1]) | (kind[1:] != kind[:-1]), [True]])) if len(tile) else np.zeros(1, np.int64)
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                rows = matrix(batch.column("v").slice(a, b - a), dims)
+                if tile[a] != at:
+                    at, shard, ids, vectors = tile[a], None, [], []
+                if kind[a] == 0:
+                    ids.append(own[a:b])
+                    vectors.append(rows)
+                elif ids or shard:
+                    if shard is None:
+                        shard, ids, vectors = Shard(np.concatenate(ids), np.concatenate(vectors)), [], []
+                    found = [shard.best(q, w, k) for q, w in zip(own[a:b], rows, strict=True)]
+                    sizes = [len(x) for x, _ in found]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own[a:b], sizes)), pa.array(np.repeat(copy[a:b], sizes)), pa.array(np.concatenate([x for x, _ in found])), pa.array(np.concatenate([s for _, s in found]))], names=["query_id", "copy", "vec_id", "score"])
 
     return run

@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from keelstone.llm import topk
@@ -37,3 +38,21 @@ def test_few_rows(spark):
     assert sorted(map(tuple, topk.search(df, F.col("vec_id") == 0).collect())) == [(0, 1, 2, 0), (0, 2, 1, -1024 * 1024)]
     alike = spark.createDataFrame([(0, [1.0], 1, ""), (0, [1.0], 1, ""), (3, [1.0], 1, ""), (3, [1.0], 1, "")], SCHEMA)
     assert sorted(map(tuple, topk.search(alike, F.col("vec_id") == 0).collect())) == [(0, 1, 3, 1 << 20), (0, 2, 3, 1 << 20)]
+
+
+def test_hot_id_and_queries_of_several_vectors(spark):
+    """A third of the rows have one id: its different vectors are answered each, its equal rows once, in tiles of few rows."""
+    rng = random.Random(4)
+    rows = [(i + 1, [float(rng.randint(-2, 2)) for _ in range(4)], 0, "") for i in range(80)] + [(0, [1.0, 2.0, 0.0, -1.0], 0, "")] * 30 + [(0, [0.0, -1.0, 1.0, 1.0, 7.0], 0, "")] * 10
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    want = []
+    for q in ([1, 2, 0, -1], [0, -1, 1, 1]):
+        found = sorted((-sum(int(1024 * a) * 1024 * b for a, b in zip(v, q)), i) for i, v, *_ in rows if i)[:10]
+        want += [(0, rank, i, -s) for rank, (s, i) in enumerate(found, 1)]
+    for block, shard in ((1, 9), (50, 1000)):
+        assert sorted(map(tuple, topk.search(df, F.col("vec_id") == 0, 10, query_block=block, shard_rows=shard).collect())) == sorted(want)
+
+
+def test_refused(spark):
+    with pytest.raises(ValueError, match="passes"):
+        topk.search(spark.createDataFrame([(0, [1e6], 0, "")], SCHEMA), F.col("vec_id") == 0)
