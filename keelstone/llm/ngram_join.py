@@ -4,8 +4,8 @@
    counts in how many sets each of 2**SKETCH_BITS hash buckets occurs: a table of fixed size that orders shingles from rare to
    frequent, hash values breaking ties.
 2. A set's prefix in that order holds a member of every set similar enough (prefix filter). A list is all sets with a shingle in
-   their prefix, with the shingle's position. Positions skip: what two sets can share after the shingle bounds their overlap, so a
-   list, sorted, is read only in the runs of positions and sizes in which the bound can still be met.
+   their prefix, with the shingle's position. Positions skip: what two sets can share after the shingle bounds their overlap. Lists are in
+   order of position and indexed by blocks; a block in which no pair can meet the bound, or that is of one group, is skipped.
 3. Answers are derived from those of a similar set: in a frequent list the set with the fewest rarer shingles stands for the others;
    all are compared with it first. Sets in one group then need no comparison with each other, so a list whose sets are in one group
    is skipped whole. Of the lists that still hold several groups, pairs across groups that pass the bounds are compared.
@@ -35,6 +35,7 @@ MARK_BITS, MARK_SEGMENT, MARKED = 28, 15, 1 << 24
 HELD = 2_000_000
 SALT = 32
 SHORT = 16
+BLOCK = 64
 PIECE_BYTES = 1 << 20
 FACTORS = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
@@ -313,27 +314,32 @@ def live_lists(sets: DataFrame, parts: int, bits: int) -> DataFrame:
 def list_pairs(n: np.ndarray, pos: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a list's places whose groups differ and that can be similar enough.
 
-    The bound needs 5 n - 9 pos >= 4 m of both, m being the other's size (for 4 fifths): the list, sorted by it, is read from the
-    first place that can meet the smallest set on. Sets of the largest group are only met, never led.
+    The list, in order of position, group and size, is indexed by blocks of BLOCK places: what its sets have left after their positions
+    at most, their least and greatest sizes, and their group if they have one in common. A block is read next to another only where
+    these leave a pair possible; the others are skipped unread.
     """
-    reach = DENOMINATOR * n - (NUMERATOR + DENOMINATOR) * pos
-    order = np.argsort(-reach, kind="stable")
-    order = order[: np.searchsorted(-reach[order], -NUMERATOR * n.min(), "right")]
+    reach = DENOMINATOR * n - (NUMERATOR + DENOMINATOR) * pos  # NUMERATOR times the other's size at most
+    order = np.lexsort((n, group, pos))
+    order = order[reach[order] >= NUMERATOR * n.min()]
     if len(order) < 2:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    names, of, sizes = np.unique(group[order], return_inverse=True, return_counts=True)
-    lead = order[of != sizes.argmax()]
-    left, right = [], []
-    step = max(1, 4_000_000 // len(order))
-    for a in range(0, len(lead), step):
-        x = lead[a : a + step, None]
-        y = order[None, :]
-        fits = (group[x] != group[y]) & overlaps(n[x], pos[x], n[y], pos[y])
-        i, j = np.nonzero(fits)
-        left.append(x[i, 0])
-        right.append(order[j])
-    none = [np.zeros(0, np.int64)]
-    return np.concatenate(left or none), np.concatenate(right or none)
+    sn, sp, sg = n[order], pos[order], group[order]
+    cuts = np.arange(0, len(order), BLOCK)
+    sizes = np.diff(np.append(cuts, len(order)))
+    low, high = np.minimum.reduceat(sn, cuts), np.maximum.reduceat(sn, cuts)
+    left_over = np.maximum.reduceat(sn - sp, cuts)
+    one, alike = sg[cuts], np.minimum.reduceat(sg, cuts) == np.maximum.reduceat(sg, cuts)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for b, a in enumerate(cuts):
+        need = (NUMERATOR * (low[b] + low[b:]) + NUMERATOR + DENOMINATOR - 1) // (NUMERATOR + DENOMINATOR)
+        fits = (np.minimum(left_over[b], left_over[b:]) >= need) & (DENOMINATOR * np.minimum(high[b], high[b:]) >= NUMERATOR * np.maximum(low[b], low[b:]))
+        read = b + np.flatnonzero(fits & ~(alike[b] & alike[b:] & (one[b] == one[b:])))
+        for c in range(0, len(read), 1024):
+            x, y = np.arange(a, a + sizes[b])[:, None], ragged(cuts[read[c : c + 1024]], sizes[read[c : c + 1024]])[None, :]
+            i, j = np.nonzero((x < y) & (sg[x] != sg[y]) & overlaps(sn[x], sp[x], sn[y], sp[y]))
+            left.append(order[a + i])
+            right.append(order[y[0, j]])
+    return np.concatenate(left), np.concatenate(right)
 
 
 def pairs_of(own: np.ndarray) -> pa.RecordBatch:

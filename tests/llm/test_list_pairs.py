@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from keelstone.llm.ngram_join import SHORT, overlaps, pairs_of
+from keelstone.llm.ngram_join import SHORT, list_pairs, overlaps, pairs_of
 
 
 def test_pairs_of_whole_lists_are_all_pairs_that_can_meet():
@@ -20,3 +20,30 @@ def test_pairs_of_whole_lists_are_all_pairs_that_can_meet():
     got = set(zip(*(c.to_pylist() for c in pairs_of(own).columns), strict=True))
     assert got == want and want
     assert pairs_of(own[:, :0]).num_rows == 0
+
+
+def test_blocks_of_long_lists_are_skipped_but_no_pair_is_lost():
+    rng = np.random.default_rng(6)
+    for groups in (2, 40, 700):
+        n = rng.integers(5, 300, 1500)
+        pos = rng.integers(0, 1 + n // 5)
+        group = rng.integers(0, groups, 1500)
+        i, j = list_pairs(n, pos, group)
+        a, b = np.triu_indices(1500, 1)
+        fits = (group[a] != group[b]) & overlaps(n[a], pos[a], n[b], pos[b])
+        assert set(zip(np.minimum(i, j), np.maximum(i, j), strict=True)) == set(zip(a[fits], b[fits], strict=True))
+        assert len(i) == fits.sum() > 0
+
+
+def test_a_shingle_of_many_sets_in_several_groups():
+    """100,000 sets, nearly all of one group: only the blocks of other groups are read with them."""
+    rng = np.random.default_rng(7)
+    n = rng.integers(50, 60, 100_000)
+    pos = rng.integers(0, 8, 100_000)
+    group = np.zeros(100_000, np.int64)
+    group[::20_000] = np.arange(1, 6)
+    i, j = list_pairs(n, pos, group)
+    rest = np.flatnonzero(group > 0)
+    want = sum(int((overlaps(n[r], pos[r], n, pos) & (group != group[r])).sum()) for r in rest)
+    twice = sum(int((overlaps(n[r], pos[r], n[rest], pos[rest]) & (group[rest] != group[r])).sum()) for r in rest)
+    assert len(i) == want - twice // 2 > 0
