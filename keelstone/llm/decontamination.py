@@ -25,12 +25,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, distinct, flat, mixed, pieces, ragged, word_hashes, word_spans
+from .common import U64, distinct, flat, mixed, pieces, ragged, released, word_hashes, word_spans
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, GRAM = 0.6, 0.5, 5
 POSTING_BLOCK, ITEM_BLOCK, CELLS, SLACK = 32, 2, 4_000_000, 0.1
 INDEX_BYTES = 32 << 20
+PIECE_BYTES = 1 << 20
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, word long"
 BETWEEN = np.array([not (chr(b).isalnum() or b >= 128) for b in range(256)])
 
@@ -304,14 +305,14 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 def _finder(shared, threshold: float, overlap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE_BYTES):
                 found = search(part, shared.value, threshold, overlap)
                 ids = part.column("doc_id")
                 rows = [(ids[r].as_py(), shared.value.ids[i], *x) for (r, i), x in sorted(found.items())]
                 columns = [c.split() for c in SCHEMA.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array([row[j] for row in rows], pa.int64() if kind == "long" else pa.float64()) for j, (_, kind) in enumerate(columns)], names=[c for c, _ in columns])
 
-    return run
+    return released(run)
 
 
 def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, bound: int = INDEX_BYTES) -> DataFrame:
@@ -321,10 +322,10 @@ def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overl
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in pieces(batch, "text"):
+                for part in pieces(batch, "text", PIECE_BYTES):
                     keep = np.ones(part.num_rows, bool)
                     keep[[r for r, _ in search(part, shared.value, threshold, overlap)]] = False
                     yield part.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(released(run), docs.schema)
     return docs
