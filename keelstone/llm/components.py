@@ -7,6 +7,16 @@ from pyspark.sql import functions as F
 
 from .common import drop, staged
 
+SALT = 32
+
+
+def with_least(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """pairs (u, v) with m, the least v of their u, and m of every u. The pairs of one u meet in SALT parts, each reduced before they are put together."""
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALT)))
+    some = salted.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    least = some.groupBy("u").agg(F.min("m").alias("m"))
+    return salted.join(some.select("u", "salt").join(least, "u"), ["u", "salt"]), least
+
 
 def components(links: DataFrame) -> DataFrame:
     """id and root (least id reachable) of every id in the links (a, b), of any type that has an order. Links may repeat and join an id to itself; nulls are ignored."""
@@ -14,10 +24,10 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.select("u", "v").union(edges.selectExpr("v u", "u v"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) m")
-        large = both.where("v > u").join(least, "u").selectExpr("v u", "m v").distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").where("v <> m").selectExpr("v u", "m v").union(lowest.selectExpr("u", "m v")).distinct()
+        near, _ = with_least(both)
+        large = near.where("v > u").selectExpr("v u", "least(u, m) v").distinct()
+        near, lowest = with_least(large)
+        small = near.where("v <> m").selectExpr("v u", "m v").union(lowest.selectExpr("u", "m v")).distinct()
         last, edges = edges, staged(small, "links")
         drop(last)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -8,7 +8,8 @@
    order of position and indexed by blocks; a block in which no pair can meet the bound, or that is of one group, is skipped.
 3. Answers are derived from those of a similar set: in a frequent list the set with the fewest rarer shingles stands for the others;
    all are compared with it first. Sets in one group then need no comparison with each other, so a list whose sets are in one group
-   is skipped whole. Of the lists that still hold several groups, pairs across groups that pass the bounds are compared.
+   is skipped whole. Of the lists that still hold several groups, pairs across groups that pass the bounds are compared. A list of
+   more than TILE entries is dealt into tiles, and each two of them meet in a task of their own: no task holds a long list whole.
 
 Lists are summed up where they are made: a task sends for each shingle the least and greatest group only. Sets are compared where
 the member is, next to a copy of the other set for each SALT members. Texts are read anew for this, only those that some pair names.
@@ -36,6 +37,7 @@ HELD = 2_000_000
 SALT = 32
 SHORT = 16
 BLOCK = 64
+TILE, TILED_BITS = 1 << 16, 20
 PIECE_BYTES = 1 << 20
 FACTORS = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
@@ -259,7 +261,7 @@ def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def live_lists(sets: DataFrame, parts: int, bits: int) -> DataFrame:
-    """The first bits + 32 bits of the shingles whose lists hold more than one group. Lists meet in 2 ** bits buckets."""
+    """The first bits + 32 bits (live) of the shingles whose lists hold more than one group, and the size of their lists. Lists meet in 2 ** bits buckets."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens: list[np.ndarray] = []
@@ -271,15 +273,16 @@ def live_lists(sets: DataFrame, parts: int, bits: int) -> DataFrame:
             token, group = token[order], group[order]
             first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
             low, high = np.minimum.reduceat(group, first), np.maximum.reduceat(group, first)
+            size = np.diff(np.append(first, len(token))).astype(np.uint32)
             token = token[first]
             several = low != high
-            token, group = np.concatenate([token, token[several]]), np.concatenate([low, high[several]])
+            token, group, size = np.concatenate([token, token[several]]), np.concatenate([low, high[several]]), np.append(size, np.zeros(several.sum(), np.uint32))
             order = np.argsort(token, kind="stable")
-            token, group = token[order], group[order]
+            token, group, size = token[order], group[order], size[order]
             cuts = np.searchsorted(token >> U64(32), np.arange((1 << bits) + 1).astype(U64))
             own = np.flatnonzero(np.diff(cuts))
             small = token.astype(np.uint32)
-            return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), packed([small[cuts[i] : cuts[i + 1]].tobytes() for i in own]), packed([group[cuts[i] : cuts[i + 1]].tobytes() for i in own])], names=["bucket", "tokens", "groups"])
+            return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), packed([small[cuts[i] : cuts[i + 1]].tobytes() for i in own]), packed([group[cuts[i] : cuts[i + 1]].tobytes() for i in own]), packed([size[cuts[i] : cuts[i + 1]].tobytes() for i in own])], names=["bucket", "tokens", "groups", "sizes"])
 
         held = 0
         for batch in batches:
@@ -295,24 +298,25 @@ def live_lists(sets: DataFrame, parts: int, bits: int) -> DataFrame:
             yield flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, groups = [], []
+        tokens, groups, sizes = [], [], []
         for batch in batches:
-            for bucket, t, g in zip(batch.column("bucket").to_pylist(), batch.column("tokens"), batch.column("groups"), strict=True):
+            for bucket, t, g, n in zip(batch.column("bucket").to_pylist(), batch.column("tokens"), batch.column("groups"), batch.column("sizes"), strict=True):
                 tokens.append(np.frombuffer(t.as_buffer(), np.uint32).astype(U64) | U64(bucket << 32))
                 groups.append(np.frombuffer(g.as_buffer(), np.int64))
+                sizes.append(np.frombuffer(n.as_buffer(), np.uint32))
         if tokens:
-            token, group = np.concatenate(tokens), np.concatenate(groups)
+            token, group, size = np.concatenate(tokens), np.concatenate(groups), np.concatenate(sizes)
             order = np.argsort(token, kind="stable")
-            token, group = token[order], group[order]
+            token, group, size = token[order], group[order], size[order]
             first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            live = token[first[np.minimum.reduceat(group, first) != np.maximum.reduceat(group, first)]]
-            yield pa.RecordBatch.from_arrays([pa.array(live.astype(np.int64))], names=["live"])
+            live = np.minimum.reduceat(group, first) != np.maximum.reduceat(group, first)
+            yield pa.RecordBatch.from_arrays([pa.array(token[first][live].astype(np.int64)), pa.array(np.add.reduceat(size, first, dtype=np.int64)[live])], names=["live", "size"])
 
-    return sets.select("tokens", "label").mapInArrow(released(send), "bucket int, tokens binary, groups binary").repartition(parts, "bucket").mapInArrow(released(meet), "live long")
+    return sets.select("tokens", "label").mapInArrow(released(send), "bucket int, tokens binary, groups binary, sizes binary").repartition(parts, "bucket").mapInArrow(released(meet), "live long, size long")
 
 
-def list_pairs(n: np.ndarray, pos: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a list's places whose groups differ and that can be similar enough.
+def list_pairs(n: np.ndarray, pos: np.ndarray, group: np.ndarray, side: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a list's places whose groups, and sides if given, differ and that can be similar enough; some at a time.
 
     The list, in order of position, group and size, is indexed by blocks of BLOCK places: what its sets have left after their positions
     at most, their least and greatest sizes, and their group if they have one in common. A block is read next to another only where
@@ -322,55 +326,65 @@ def list_pairs(n: np.ndarray, pos: np.ndarray, group: np.ndarray) -> tuple[np.nd
     order = np.lexsort((n, group, pos))
     order = order[reach[order] >= NUMERATOR * n.min()]
     if len(order) < 2:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return
     sn, sp, sg = n[order], pos[order], group[order]
     cuts = np.arange(0, len(order), BLOCK)
     sizes = np.diff(np.append(cuts, len(order)))
     low, high = np.minimum.reduceat(sn, cuts), np.maximum.reduceat(sn, cuts)
     left_over = np.maximum.reduceat(sn - sp, cuts)
     one, alike = sg[cuts], np.minimum.reduceat(sg, cuts) == np.maximum.reduceat(sg, cuts)
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    part = None if side is None else side[order]
     for b, a in enumerate(cuts):
         need = (NUMERATOR * (low[b] + low[b:]) + NUMERATOR + DENOMINATOR - 1) // (NUMERATOR + DENOMINATOR)
         fits = (np.minimum(left_over[b], left_over[b:]) >= need) & (DENOMINATOR * np.minimum(high[b], high[b:]) >= NUMERATOR * np.maximum(low[b], low[b:]))
         read = b + np.flatnonzero(fits & ~(alike[b] & alike[b:] & (one[b] == one[b:])))
         for c in range(0, len(read), 1024):
             x, y = np.arange(a, a + sizes[b])[:, None], ragged(cuts[read[c : c + 1024]], sizes[read[c : c + 1024]])[None, :]
-            i, j = np.nonzero((x < y) & (sg[x] != sg[y]) & overlaps(sn[x], sp[x], sn[y], sp[y]))
-            left.append(order[a + i])
-            right.append(order[y[0, j]])
-    return np.concatenate(left), np.concatenate(right)
-
-
-def pairs_of(own: np.ndarray) -> pa.RecordBatch:
-    """Pairs (a, ak, b, bk) of whole lists, given as rows token, id, key, size, group and position in order of token."""
-    token, x, k, n, label, pos = own
-    cuts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]])) if len(token) else np.zeros(1, int)
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            fit = (x < y) & (sg[x] != sg[y]) & overlaps(sn[x], sp[x], sn[y], sp[y])
+            if part is not None:
+                fit &= part[x] != part[y]
+            i, j = np.nonzero(fit)
+            if len(i):
+                yield order[a + i], order[y[0, j]]
+
+
+def pairs_of(own: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, ak, b, bk) of whole lists or tiles, given as rows token, id, key, size, group, position, tile and side in order of token and tile."""
+    token, x, k, n, label, pos, tile, side = own
+    if not len(token):
+        return
+    cuts = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (tile[1:] != tile[:-1]), [True]]))
     length = np.diff(cuts)
     place = np.arange(len(token)) - np.repeat(cuts[:-1], length)
     few = np.repeat(np.where(length <= SHORT, length, 0), length)
+
+    def named(i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        i, j = np.where(x[i] < x[j], i, j), np.where(x[i] < x[j], j, i)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (x[i], k[i], x[j], k[j])], names=["a", "ak", "b", "bk"])
+
     for d in range(1, SHORT):  # all short lists at once: each place with the one d further on
         i = np.flatnonzero(place + d < few)
-        i = i[label[i] != label[i + d]]
+        i = i[(label[i] != label[i + d]) & ((side[i] < 0) | (side[i] != side[i + d]))]
         i = i[overlaps(n[i], pos[i], n[i + d], pos[i + d])]
-        left.append(i)
-        right.append(i + d)
+        yield named(i, i + d)
     long = np.flatnonzero(length > SHORT)
     for a, b in zip(cuts[long], cuts[long + 1], strict=True):
         if (label[a:b] != label[a]).any():
-            i, j = list_pairs(n[a:b], pos[a:b], label[a:b])
-            left.append(a + i)
-            right.append(a + j)
-    i, j = np.concatenate(left), np.concatenate(right)
-    i, j = np.where(x[i] < x[j], i, j), np.where(x[i] < x[j], j, i)
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in (x[i], k[i], x[j], k[j])], names=["a", "ak", "b", "bk"])
+            for i, j in list_pairs(n[a:b], pos[a:b], label[a:b], None if side[a] < 0 else side[a:b]):
+                yield named(a + i, a + j)
+
+
+def tiled(live: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """The live lists that are dealt into tiles, in order, and how many tiles each has. All lists together have total entries, so these are 2 ** TILED_BITS at most."""
+    most = max(TILE, -(-total >> TILED_BITS))
+    own = live.where(F.col("size") > most).select("live", F.ceil(F.col("size") / most).alias("tiles")).orderBy("live").toArrow()
+    return tuple(np.asarray(own.column(c).combine_chunks(), dtype=np.int64) for c in ("live", "tiles"))
 
 
-def across_groups(sets: DataFrame, live: DataFrame, parts: int, bits: int) -> DataFrame:
-    """Pairs (a, ak, b, bk) of sets in different groups that the live lists leave to compare."""
-    table = marks(live)
-    shared = sets.sparkSession.sparkContext.broadcast(table)
+def across_groups(sets: DataFrame, live: DataFrame, parts: int, bits: int, total: int) -> DataFrame:
+    """Pairs (a, ak, b, bk) of sets in different groups that the live lists leave to compare. total: entries of all lists."""
+    table = marks(live.select("live"))
+    shared, dealt = (sets.sparkSession.sparkContext.broadcast(x) for x in (table, tiled(live, total)))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -378,24 +392,34 @@ def across_groups(sets: DataFrame, live: DataFrame, parts: int, bits: int) -> Da
             if table is not None:
                 keep = is_marked((token >> U64(32 - bits)).astype(np.int64), shared.value)
                 token, row, pos = token[keep], row[keep], pos[keep]
-            own = [pa.array(np.asarray(batch.column(c), dtype=np.int64)[row]) for c in ("rep", "k1", "n", "label")]
-            yield pa.RecordBatch.from_arrays([pa.array(token.astype(np.int64)), *own, pa.array(pos)], names=["token", "x", "k", "n", "label", "pos"])
+            long, tiles = dealt.value
+            many = np.ones(len(token), np.int64)
+            if len(long):
+                name = (token >> U64(32 - bits)).astype(np.int64)
+                at = np.minimum(np.searchsorted(long, name), len(long) - 1)
+                many = np.where(long[at] == name, tiles[at], 1)
+            x, k, n, label = (np.asarray(batch.column(c), dtype=np.int64) for c in ("rep", "k1", "n", "label"))
+            mine = (mixed(k.view(U64))[row] % many.astype(U64)).astype(np.int64)
+            for other in range(int(many.max(initial=1))):
+                at = np.flatnonzero(many > other)
+                low, high = np.minimum(mine[at], other), np.maximum(mine[at], other)
+                side = np.where(low == high, -1, mine[at] == high)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (token[at].astype(np.int64), x[row[at]], k[row[at]], n[row[at]], label[row[at]], pos[at], low * many[at] + high, side)], names=["token", "x", "k", "n", "label", "pos", "tile", "side"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: np.ndarray | None = None
+        rest = np.zeros((8, 0), np.int64)
         for batch in batches:
-            own = np.stack([np.asarray(c, dtype=np.int64) for c in batch.columns])
-            rest = own if rest is None else np.concatenate([rest, own], axis=1)
-            cut = int(np.searchsorted(rest[0], rest[0, -1], "left")) if rest.shape[1] else 0
-            yield pairs_of(rest[:, :cut])
+            rest = np.concatenate([rest, np.stack([np.asarray(c, dtype=np.int64) for c in batch.columns])], axis=1)
+            done = np.flatnonzero((rest[0] != rest[0, -1:]) | (rest[6] != rest[6, -1:]))
+            cut = int(done[-1]) + 1 if len(done) else 0
+            yield from pairs_of(rest[:, :cut])
             rest = rest[:, cut:]
-        if rest is not None:
-            yield pairs_of(rest)
+        yield from pairs_of(rest)
 
-    rows = sets.select("rep", "k1", "n", "label", "tokens").mapInArrow(released(send), "token long, x long, k long, n long, label long, pos long")
+    rows = sets.select("rep", "k1", "n", "label", "tokens").mapInArrow(released(send), "token long, x long, k long, n long, label long, pos long, tile long, side long")
     if table is None:
         rows = rows.withColumn("live", F.shiftrightunsigned("token", 32 - bits)).join(live, "live", "left_semi").drop("live")
-    return rows.repartition(parts, "token").sortWithinPartitions("token").mapInArrow(released(meet), "a long, ak long, b long, bk long").distinct()
+    return rows.repartition(parts, "token", "tile").sortWithinPartitions("token", "tile").mapInArrow(released(meet), "a long, ak long, b long, bk long").distinct()
 
 
 def clustered(docs: DataFrame) -> DataFrame:
@@ -411,12 +435,13 @@ def clustered(docs: DataFrame) -> DataFrame:
     keys = classes.select("k1", "rep")
     stars = staged(starred(sets, shared).join(keys.selectExpr("k1 a", "rep ra"), "a").join(keys.selectExpr("k1 b", "rep rb"), "b").selectExpr("ra a", "a ak", "rb b", "b bk"), "join-pairs")
     known = components(compared(docs, stars))
-    labelled = staged(sets.join(classes.join(known, "id", "left").selectExpr("k1", "k2", "rep", "coalesce(root, id).k label").hint("merge"), ["k1", "k2"]), "join-labelled")
+    single = sets.groupBy("k1", "k2").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    labelled = staged(single.join(classes.join(known, "id", "left").selectExpr("k1", "k2", "rep", "coalesce(root, id).k label").hint("merge"), ["k1", "k2"]), "join-labelled")
     drop(sets, stars)
     total = int(labelled.agg(F.sum(F.length("tokens") / 8)).first()[0] or 0)
     parts, bits = max(parts, -(-total // 2_000_000)), min(24, max(LIST_BITS, (total // LIST_ENTRIES).bit_length()))
     live = staged(live_lists(labelled, parts, bits), "join-live")
-    more = staged(across_groups(labelled, live, parts, bits), "join-more")
+    more = staged(across_groups(labelled, live, parts, bits, total), "join-more")
     drop(live, labelled)
     found = staged(compared(docs, more), "join-links")
     if not found.isEmpty():

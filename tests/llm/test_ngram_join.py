@@ -49,8 +49,11 @@ def corpus(seed, n):
     return [(i, rng.choice([" ", "\n", "  "]).join(w).title() if rng.random() < 0.3 else " ".join(w), "x", "y") for i, w in enumerate(out)]
 
 
-@pytest.mark.parametrize("seed, frequent, marked", [(1, 64, 1 << 24), (2, 2, 0)])
-def test_brute_force(spark, monkeypatch, seed, frequent, marked):
+@pytest.mark.parametrize("seed, frequent, marked, tile", [(1, 64, 1 << 24, 1 << 16), (2, 2, 0, 3), (3, 1000, 1 << 24, 3)])
+def test_brute_force(spark, monkeypatch, seed, frequent, marked, tile):
+    monkeypatch.setattr(ngram_join, "TILE", tile)
+    dealt, tiled = [], ngram_join.tiled
+    monkeypatch.setattr(ngram_join, "tiled", lambda *a: dealt.append(tiled(*a)) or dealt[-1])
     monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
     monkeypatch.setattr(ngram_join, "MARKED", marked)  # 0: semi joins in place of marks
     rows = corpus(seed, 25)
@@ -60,6 +63,7 @@ def test_brute_force(spark, monkeypatch, seed, frequent, marked):
     rows += [(rows[9][0], rows[20][1], "", ""), (rows[11][0], rows[20][1] + " more", "", ""), (rows[12][0], "of its own kind and like none", "", "")]  # ids with several texts
     got = ngram_join.groups(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
     assert sorted(map(tuple, got)) == brute(rows)
+    assert frequent < 1000 or max(dealt[0][1]) > 2  # lists in several tiles
 
 
 def test_odd_tables(spark):
