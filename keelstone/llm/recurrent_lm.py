@@ -5,6 +5,10 @@ that of its class times that within the class (class-factored softmax), and for
 among such words, so the probabilities of all words sum to one. A gated recurrent layer is trained by backpropagation through
 windows of WINDOW steps, its state carried from window to window; scoring carries the state through the whole text.
 
+Every training token is learned: the texts' ids are cut into runs of RUN, which are dealt to up to WORKERS networks on the executors and to
+ROUNDS rounds. In a round each network learns its runs, SIDE of them side by side; after it the networks' mean, weighted by the ids
+learned, goes on. The first of them starts from what the driver learned from a small part, so that they don't drift apart.
+
 Counts are of all training tokens: tasks add up their own and words meet by hash. Scoring looks up the most frequent ones in a broadcast
 table of bounded size. Where that doesn't hold them all, the texts' other words are sent to where their counts are, added up
 for each text, so the texts are read once and the driver holds no more, whatever the number of words.
@@ -16,10 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, distinct, flat, packed, pieces, staged, word_hashes, word_spans
+from .common import U64, drop, flat, packed, pieces, staged, word_hashes, word_spans
 
 CLASSES, PER_CLASS = 32, 64
 SHORTLIST = CLASSES * PER_CLASS
@@ -27,20 +32,28 @@ END, OTHER = 0, 1
 END_HASH = U64(0x00000000E0D0E0D0)
 WIDTH, HIDDEN, WINDOW, LANES = 24, 32, 16, 32
 TRAIN_ROWS, TRAIN_TOKENS, TRAIN_PART, EPOCHS, RATE = 600, 200_000, 100, 2, 0.004
+#: Rows and tokens that the driver starts from at most, where no more are asked for.
+START_ROWS, START_TOKENS = 1_200, 400_000
+#: Where all rows are learned: ids of a run and runs side by side, times the networks meet, ids for each further network, networks at most, parts of their mean.
+RUN, SIDE, ROUNDS, WORKER, WORKERS, CHUNKS = 1024, 512, 4, 4_000_000, 64, 8
 BUCKET_BITS, HELD = 12, 4_000_000
 TABLE_BYTES = 64 << 20
-SCORED = 2_000_000
+SCORED, SCORED_AT_ONCE = 2_000_000, 1 << 13
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, rid long"
 SENT = ", bucket int, hashes binary, rids binary, times binary"
 
 
-def softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(-1, keepdims=True))
-    return x / x.sum(-1, keepdims=True)
-
-
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those of each row and their sums. Rows' maxima, which cost more than all the rest, are taken off (of logits too) where they have to be."""
+    ones = np.ones(logits.shape[1], logits.dtype)
+    if logits.size and logits.max() < 60:
+        out = np.exp(logits)
+        sums = out @ ones
+        if sums.min() > 1e-20:
+            return out, sums
+    logits -= logits.max(1, keepdims=True)
+    out = np.exp(logits)
+    return out, out @ ones
 
 
 class Network:
@@ -58,74 +71,140 @@ class Network:
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         """The next state and the gates; x: input's share of the gates' sums."""
         s = h @ self.p["u"]
-        zr = sigmoid(x[:, : 2 * HIDDEN] + s[:, : 2 * HIDDEN])
+        zr = x[:, : 2 * HIDDEN] + s[:, : 2 * HIDDEN]
+        zr *= 0.5
+        np.tanh(zr, out=zr)  # the logistic function by tanh
+        zr += 1
+        zr *= 0.5
         z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = np.tanh(x[:, 2 * HIDDEN :] + r * s[:, 2 * HIDDEN :])
-        return n + z * (h - n), z, r, n, s[:, 2 * HIDDEN :]
+        n = r * s[:, 2 * HIDDEN :]
+        n += x[:, 2 * HIDDEN :]
+        np.tanh(n, out=n)
+        new = h - n
+        new *= z
+        new += n
+        return new, z, r, n, s[:, 2 * HIDDEN :]
 
     def inputs(self) -> np.ndarray:
         return self.p["e"] @ self.p["w"] + self.p["b"]
 
     def log10(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """log10 probabilities of the ids after the states h."""
-        logits = h @ self.p["c"] + self.p["cb"]
-        logits -= logits.max(1, keepdims=True)
-        out = logits[np.arange(len(ids)), ids // PER_CLASS].astype(np.float64) - np.log(np.exp(logits).sum(1))
-        order = np.argsort(ids // PER_CLASS, kind="stable")
-        cuts = np.searchsorted((ids // PER_CLASS)[order], np.arange(CLASSES + 1))
+        order = np.argsort((ids // PER_CLASS).astype(np.int16), kind="stable")
+        ids, h = ids[order], h[order]
+        of, word, rows, sorted_out = ids // PER_CLASS, ids % PER_CLASS, np.arange(len(ids)), np.zeros(len(ids))
+
+        def add(logits: np.ndarray, at: np.ndarray, out: np.ndarray):
+            sums = exponentials(logits)[1]
+            out += logits[rows[: len(at)], at]
+            out -= np.log(sums)
+
+        add(h @ self.p["c"] + self.p["cb"], of, sorted_out)
+        cuts = np.searchsorted(of, np.arange(CLASSES + 1)).tolist()
         for c in range(CLASSES):
-            rows = order[cuts[c] : cuts[c + 1]]
-            if len(rows):
-                own = h[rows] @ self.p["o"][c] + self.p["ob"][c]
-                own -= own.max(1, keepdims=True)
-                out[rows] += own[np.arange(len(rows)), ids[rows] % PER_CLASS] - np.log(np.exp(own).sum(1))
-        return out / np.log(10)
-
-    def gradients(self, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
-        """Of the mean loss over a window x, y [steps, lanes] from the state h; the last state; the loss in nats."""
+            a, b = cuts[c : c + 2]
+            if a < b:
+                logits = h[a:b] @ self.p["o"][c]
+                logits += self.p["ob"][c]
+                add(logits, word[a:b], sorted_out[a:b])
+        out = np.empty(len(ids))
+        out[order] = sorted_out / np.log(10)
+        return out
+
+    def gradients(self, x: np.ndarray, y: np.ndarray, h: np.ndarray, live: np.ndarray | None = None) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
+        """Of the mean loss over a window x, y [steps, lanes] from the state h; the last state; the loss in nats. Only the targets that are live count."""
         p, steps, lanes = self.p, *x.shape
-        inputs, trace = self.inputs(), []
+        kind, u_back = p["u"].dtype, np.ascontiguousarray(p["u"].T)
+        gates = self.inputs()[x]  # inputs' share, then z, r, n of each step
+        trace, states = np.empty((steps, lanes, HIDDEN), kind), np.empty((steps + 1, lanes, HIDDEN), kind)
+        states[0] = h
         for t in range(steps):
-            new, *gates = self.step(inputs[x[t]], h)
-            trace.append((h, *gates))
-            h = new
-        states = np.stack([*(s[0] for s in trace[1:]), h]).reshape(-1, HIDDEN)
-        ids = y.ravel()
-        scale = np.float32(1 / len(ids))
+            now, s = gates[t], states[t] @ p["u"]
+            zr, n = now[:, : 2 * HIDDEN], now[:, 2 * HIDDEN :]
+            zr += s[:, : 2 * HIDDEN]
+            zr *= 0.5
+            np.tanh(zr, out=zr)
+            zr += 1
+            zr *= 0.5
+            trace[t] = s[:, 2 * HIDDEN :]
+            n += zr[:, HIDDEN:] * trace[t]
+            np.tanh(n, out=n)
+            new = np.subtract(states[t], n, out=states[t + 1])
+            new *= zr[:, :HIDDEN]
+            new += n
+        own = slice(None) if live is None else np.flatnonzero(live.ravel())
+        ids, after = y.ravel()[own].astype(np.int64), states[1:].reshape(-1, HIDDEN)[own]
         g = {k: np.zeros_like(v) for k, v in p.items()}
-        chance = softmax(states @ p["c"] + p["cb"])
-        rows = np.arange(len(ids))
-        loss = -np.log(chance[rows, ids // PER_CLASS] + 1e-30).sum()
-        chance[rows, ids // PER_CLASS] -= 1
-        chance *= scale
-        g["c"], g["cb"] = states.T @ chance, chance.sum(0)
-        back = chance @ p["c"].T
-        for c in distinct(ids // PER_CLASS).tolist():
-            own = np.flatnonzero(ids // PER_CLASS == c)
-            chance = softmax(states[own] @ p["o"][c] + p["ob"][c])
-            at = np.arange(len(own))
-            loss -= np.log(chance[at, ids[own] % PER_CLASS] + 1e-30).sum()
-            chance[at, ids[own] % PER_CLASS] -= 1
-            chance *= scale
-            g["o"][c], g["ob"][c] = states[own].T @ chance, chance.sum(0)
-            back[own] += chance @ p["o"][c].T
+        order = np.argsort((ids // PER_CLASS).astype(np.int16), kind="stable")
+        ids, after = ids[order], after[order]
+        of, word, rows, scale = ids // PER_CLASS, ids % PER_CLASS, np.arange(len(ids)), kind.type(1 / max(1, len(ids)))
+        cuts = np.searchsorted(of, np.arange(CLASSES + 1)).tolist()
+
+        def lost(logits: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, float]:
+            """The loss and its gradients by the logits."""
+            chance, sums = exponentials(logits)
+            some = rows[: len(at)]
+            loss = float((np.log(sums) - logits[some, at]).sum())
+            chance *= (scale / sums)[:, None]
+            chance[some, at] -= scale
+            return chance, loss
+
+        chance, loss = lost(after @ p["c"] + p["cb"], of)
+        g["c"], g["cb"] = after.T @ chance, chance.sum(0)
+        sorted_back = chance @ p["c"].T
+        for c in range(CLASSES):
+            a, b = cuts[c : c + 2]
+            if a < b:
+                chance, more = lost(after[a:b] @ p["o"][c] + p["ob"][c], word[a:b])
+                loss += more
+                g["o"][c], g["ob"][c] = after[a:b].T @ chance, chance.sum(0)
+                sorted_back[a:b] += chance @ p["o"][c].T
+        back = np.zeros((steps * lanes, HIDDEN), kind)
+        back[order if live is None else own[order]] = sorted_back
         back = back.reshape(steps, lanes, HIDDEN)
-        later, gates_back = np.zeros((lanes, HIDDEN), np.float32), np.zeros((steps, lanes, 3 * HIDDEN), np.float32)
+        later, gates_back, from_state = np.zeros((lanes, HIDDEN), kind), np.empty((steps, lanes, 3 * HIDDEN), kind), np.empty((steps, lanes, 3 * HIDDEN), kind)
         for t in reversed(range(steps)):
-            before, z, r, n, s = trace[t]
-            d = back[t] + later
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (before - n) * z * (1 - z)
-            dr = dn * s * r * (1 - r)
-            gates_back[t] = np.concatenate([dz, dr, dn], 1)
-            from_state = np.concatenate([dz, dr, dn * r], 1)
-            g["u"] += before.T @ from_state
-            later = d * z + from_state @ p["u"].T
-        flat_back, flat_x = gates_back.reshape(-1, 3 * HIDDEN), x.ravel()
-        g["b"] = flat_back.sum(0)
-        g["w"] = p["e"][flat_x].T @ flat_back
-        np.add.at(g["e"], flat_x, flat_back @ p["w"].T)
-        return g, h, float(loss) / len(ids)
+            z, r, n = (gates[t, :, i * HIDDEN : (i + 1) * HIDDEN] for i in range(3))
+            d, own_back = back[t], gates_back[t]
+            d += later
+            kept = d * z
+            dn = d - kept
+            dn *= 1 - n * n
+            dz = states[t] - n
+            dz *= kept
+            dz *= 1 - z
+            dnr = dn * r
+            dr = dnr * trace[t]
+            dr *= 1 - r
+            own_back[:, :HIDDEN], own_back[:, HIDDEN : 2 * HIDDEN], own_back[:, 2 * HIDDEN :] = dz, dr, dn
+            from_state[t, :, : 2 * HIDDEN], from_state[t, :, 2 * HIDDEN :] = own_back[:, : 2 * HIDDEN], dnr
+            later = from_state[t] @ u_back
+            later += kept
+        flat_back, flat_x = gates_back.reshape(-1, 3 * HIDDEN), x.ravel().astype(np.int16)
+        g["u"] = states[:-1].reshape(-1, HIDDEN).T @ from_state.reshape(-1, 3 * HIDDEN)
+        g["b"], g["w"] = np.ones(len(flat_back), kind) @ flat_back, p["e"][flat_x].T @ flat_back
+        order = np.argsort(flat_x, kind="stable")
+        first = np.flatnonzero(np.diff(flat_x[order], prepend=-1))
+        g["e"][flat_x[order[first]]] = np.add.reduceat((flat_back @ p["w"].T)[order], first, axis=0)
+        return g, states[-1].copy(), loss / max(1, len(ids))
+
+    def learn(self, g: dict[str, np.ndarray], moments: tuple[dict, dict], n: int, rate: float) -> None:
+        """Step n (from 1) down the gradients, cut to a length of 1, with their running moments."""
+        size = float(np.sqrt(sum(np.vdot(v, v) for v in g.values())))
+        now = np.float32(rate * (1 - 0.999**n) ** 0.5 / (1 - 0.9**n))
+        for k, v in g.items():
+            v *= np.float32(min(1.0, 1.0 / max(size, 1e-9)))
+            first, second = moments[0][k], moments[1][k]
+            first += np.float32(0.1) * (v - first)
+            v *= v
+            v -= second
+            v *= np.float32(0.001)
+            second += v
+            np.sqrt(second, out=v)
+            v += np.float32(1e-8)
+            np.divide(first, v, out=v)
+            v *= now
+            self.p[k] -= v
 
     def train(self, ids: np.ndarray, epochs: int = EPOCHS, rate: float = RATE) -> list[float]:
         """Truncated backpropagation over a stream of ids, cut into LANES; the mean loss of each epoch."""
@@ -133,7 +212,7 @@ class Network:
         if length < WINDOW:
             return []
         x, y = (ids[i : i + LANES * length].reshape(LANES, length).T for i in (0, 1))
-        first, second = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
+        moments = self.moments()
         losses, n = [], 0
         total = epochs * (length // WINDOW)
         for _ in range(epochs):
@@ -141,17 +220,30 @@ class Network:
             for a in range(0, length - WINDOW + 1, WINDOW):
                 g, h, loss = self.gradients(x[a : a + WINDOW], y[a : a + WINDOW], h)
                 own.append(loss)
-                size = float(np.sqrt(sum((v * v).sum() for v in g.values())))
                 n += 1
-                now = rate * (1 - n / (total + 1)) * (1 - 0.999**n) ** 0.5 / (1 - 0.9**n)
-                for k, v in g.items():
-                    v *= min(1.0, 1.0 / max(size, 1e-9))
-                    first[k] += 0.1 * (v - first[k])
-                    second[k] += 0.001 * (v * v - second[k])
-                    self.p[k] -= (now * first[k] / (np.sqrt(second[k]) + 1e-8)).astype(np.float32)
+                self.learn(g, moments, n, rate * (1 - n / (total + 1)))
             losses.append(float(np.mean(own)))
         return losses
 
+    def moments(self) -> tuple[dict, dict]:
+        return tuple({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
+
+    def train_runs(self, runs: list[np.ndarray], moments: tuple[dict, dict], n: int, rates: tuple[float, float]) -> int:
+        """Backpropagation over runs side by side: every id but a run's first is learned, at the rates from one to the other. n: steps before. The steps in all."""
+        runs = sorted(runs, key=len, reverse=True)
+        sizes = np.array([len(r) - 1 for r in runs])
+        square = np.zeros((-(-int(sizes[0]) // WINDOW) * WINDOW + 1, len(runs)), np.int16)
+        for i, r in enumerate(runs):
+            square[: len(r), i] = r
+        h = np.zeros((len(runs), HIDDEN), np.float32)
+        for a in range(0, len(square) - 1, WINDOW):
+            m = int((sizes > a).sum())
+            live = np.arange(a, a + WINDOW)[:, None] < sizes[:m] if sizes[m - 1] < a + WINDOW else None
+            g, h, _ = self.gradients(square[a : a + WINDOW, :m], square[a + 1 : a + WINDOW + 1, :m], h[:m], live)
+            n += 1
+            self.learn(g, moments, n, rates[0] + (rates[1] - rates[0]) * a / len(square))
+        return n
+
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10 probability of each sequence of ids (its end is not in it and counted), whole sequences side by side."""
         sizes = np.array([len(t) + 1 for t in texts], np.int64)
@@ -160,18 +252,20 @@ class Network:
         starts = np.cumsum(sizes) - sizes
         out, inputs = np.zeros(len(texts)), self.inputs()
         h, last = np.zeros((len(texts), HIDDEN), np.float32), np.full(len(texts), END)
+        every = np.arange(len(texts))
         t, ends = 0, -sizes
         while len(texts) and t < sizes[0]:
-            held, wanted, lane = [], [], []
-            while t < sizes[0] and sum(map(len, lane)) < 1 << 15:
+            held, wanted, lane, size = [], [], [], 0
+            while t < sizes[0] and size < SCORED_AT_ONCE:
                 m = int(np.searchsorted(ends, -t, "left"))
                 h[:m] = self.step(inputs[last[:m]], h[:m])[0]
                 now = flat_ids[starts[:m] + t]
                 held.append(h[:m].copy())
                 wanted.append(now)
-                lane.append(np.arange(m))
+                lane.append(every[:m])
                 last[:m] = now
                 t += 1
+                size += m
             out += np.bincount(np.concatenate(lane), self.log10(np.concatenate(held), np.concatenate(wanted)), minlength=len(texts))
         result = np.zeros(len(texts))
         result[order] = out
@@ -241,10 +335,12 @@ def frequent(counts: DataFrame, n: int) -> list[tuple[int, int]]:
 
 
 def score(docs: DataFrame, held_out: Column, train_rows: int = TRAIN_ROWS, train_tokens: int = TRAIN_TOKENS, table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10) of every row; learned from rows not held out.
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10), learned_tokens of every row; learned from rows not held out.
 
-    Tokens are words [^\\x20\\x09-\\x0D]+ with A-Z as a-z, then one end; null is read as "". The network learns from one row and one token in
-    TRAIN_PART, or about train_rows rows and train_tokens tokens if those are more: a run of tokens of each of the rows with the lowest hashes, none longer than twice their mean share; counts are of all rows that aren't held out. Rows and ids may repeat or be null;
+    Tokens are words [^\\x20\\x09-\\x0D]+ with A-Z as a-z, then one end; null is read as "". Counts and the network are of all tokens of all rows
+    that aren't held out: learned_tokens says how many the network has learned, and is train_tokens. It starts from what the driver learned from one row and
+    one token in TRAIN_PART (START_ROWS and START_TOKENS at most), or about train_rows rows and train_tokens tokens if those are more: a run of each of
+    the rows with the lowest hashes, none longer than twice their mean share. Rows and ids may repeat or be null;
     other columns are not read. With nothing to learn from, N and V are 0. An empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -267,10 +363,10 @@ def score(docs: DataFrame, held_out: Column, train_rows: int = TRAIN_ROWS, train
     listed = np.array([h for h, _ in top], np.int64).view(U64)
     order = np.argsort(listed)
     listed, number = listed[order], order + 2
-    network = Network(own)
+    network, learned_tokens = Network(own), 0
     if tokens:
         drawn = F.pmod(F.xxhash64(F.lit("lm"), "doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
-        rows, budget = min(max(1, ends), max(train_rows, ends // TRAIN_PART)), max(train_tokens, tokens // TRAIN_PART)
+        rows, budget = min(max(1, ends), max(train_rows, min(ends // TRAIN_PART, START_ROWS))), max(train_tokens, min(tokens // TRAIN_PART, START_TOKENS))
         place = F.pmod(F.xxhash64(F.lit("lm-window"), "doc_id", "text"), F.lit(1 << 40))
         chosen = learned.select(drawn.alias("d"), place.alias("place"), "text").where(F.col("d") <= min(1.0, rows / max(1, ends)))
         windows = chosen.mapInArrow(_windows(listed, number, max(2, 2 * budget // rows)), "d double, ids binary")
@@ -281,6 +377,7 @@ def score(docs: DataFrame, held_out: Column, train_rows: int = TRAIN_ROWS, train
             stream.append(np.frombuffer(ids, np.int16)[: budget - size])
             size += len(stream[-1])
         network.train(np.concatenate(stream) if stream else np.zeros(0, np.int64))
+        learned_tokens = train_all(learned.select("text"), network, listed, number, int(tokens))
     shared = spark.sparkContext.broadcast((network, listed, number))
     least = least_count(counts, table_bytes // 16) if 16 * types > table_bytes else 0
     got = counts.mapInArrow(_frequent(least, listed), "hashes binary, counts binary").toArrow()
@@ -297,7 +394,7 @@ def score(docs: DataFrame, held_out: Column, train_rows: int = TRAIN_ROWS, train
         met = own.union(sent).repartition(max(parts, -(-int(types) // HELD)), "bucket").sortWithinPartitions("bucket", "kind")
         more = met.mapInArrow(_meet(tokens, types, other_tokens, other_types), "rid long, n_known long, base double, model double").groupBy("rid").agg(*(F.sum(c).alias(f"more_{c}") for c in ("n_known", "base", "model")))
         out = out.where("bucket is null").join(more, "rid", "left").select("doc_id", "held_out", "n_tokens", *((F.col(c) + F.coalesce(F.col(f"more_{c}"), F.lit(0))).alias(c) for c in ("n_known", "base", "model")))
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(tokens)).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), F.col("model").alias("score"))
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(tokens)).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), F.col("model").alias("score"), F.lit(learned_tokens).cast("long").alias("learned_tokens"))
 
 
 def ids_of(h: np.ndarray, listed: np.ndarray, number: np.ndarray) -> np.ndarray:
@@ -325,6 +422,107 @@ def _windows(listed: np.ndarray, number: np.ndarray, most: int):
     return run
 
 
+def train_all(learned: DataFrame, network: Network, listed: np.ndarray, number: np.ndarray, tokens: int) -> int:
+    """The network learns every token of the texts, on executors; how many it learned."""
+    workers = min(max(1, tokens // WORKER), WORKERS)
+    runs = learned.mapInArrow(_runs(listed, number, workers), "worker int, round int, part int, at long, ids binary")
+    runs = staged(runs.repartitionById(workers, F.col("worker")).sortWithinPartitions("round", "worker", "part", "at"), "lm-runs")
+    shapes = [(k, v.shape, v.size) for k, v in network.p.items()] * 3
+    state = np.concatenate([v.ravel() for d in (network.p, *network.moments()) for v in d.values()])
+    share, learned_tokens = tokens / (workers * ROUNDS), 0
+    for r in range(ROUNDS):
+        shared = learned.sparkSession.sparkContext.broadcast(state)
+        own = runs.where(F.col("round") == r).mapInArrow(_learner(shared, share, r), "worker int, part int, at long, chunk int, n long, state binary")
+        mean = own.repartition(CHUNKS, "chunk").sortWithinPartitions("chunk", "worker", "part", "at").mapInArrow(_mean, "chunk int, n long, state binary")
+        got = sorted(map(tuple, mean.collect()))
+        shared.unpersist()
+        if got:
+            learned_tokens += got[0][1]
+            state = np.concatenate([np.frombuffer(x, np.float32) for _, _, x in got])
+    drop(runs)
+    a = 0
+    for k, shape, size in shapes[: len(network.p)]:
+        network.p[k] = state[a : a + size].reshape(shape).copy()
+        a += size
+    return learned_tokens
+
+
+def _runs(listed: np.ndarray, number: np.ndarray, workers: int):
+    """The texts' ids, an end after each, as one sequence cut into runs of RUN, each after the id before it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, n, left = TaskContext.get().partitionId(), 0, np.full(1, END, np.int16)
+
+        def rows(cuts: list[np.ndarray]) -> pa.RecordBatch:
+            at = np.arange(n, n + len(cuts))
+            return pa.RecordBatch.from_arrays([pa.array(((part + at) % workers).astype(np.int32)), pa.array(((part + at) // workers % ROUNDS).astype(np.int32)), pa.array(np.full(len(at), part, np.int32)), pa.array(at), packed([c.tobytes() for c in cuts])], names=["worker", "round", "part", "at", "ids"])
+
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                h, before = hashed(piece.column("text"))
+                left = np.concatenate([left, np.insert(ids_of(h, listed, number).astype(np.int16), before[1:], np.int16(END))])
+                whole = (len(left) - 1) // RUN
+                yield rows([left[i * RUN : (i + 1) * RUN + 1] for i in range(whole)])
+                n, left = n + whole, left[whole * RUN :]
+        if len(left) > 1:
+            yield rows([left])
+
+    return run
+
+
+def _learner(shared, share: float, r: int):
+    """What each network has become by its runs of round r, in CHUNKS, and how many ids it learned. share: ids of a network in a round, about."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        whose, network, moments, n, learned = None, None, None, 0, 0
+
+        def learn():
+            nonlocal n, held, learned
+            more = learned + sum(map(len, held)) - len(held)
+            n = network.train_runs(held, moments, n, tuple(RATE * (1 - (r + min(1, x / share)) / ROUNDS) for x in (learned, more)))
+            held, learned = [], more
+
+        def end() -> pa.RecordBatch:
+            parts = np.array_split(np.concatenate([v.ravel() for d in (network.p, *moments) for v in d.values()]), CHUNKS)
+            return pa.RecordBatch.from_arrays([*(pa.array([x] * CHUNKS, kind) for x, kind in zip(whose, (pa.int32(), pa.int32(), pa.int64()), strict=True)), pa.array(range(CHUNKS), pa.int32()), pa.array([learned] * CHUNKS, pa.int64()), packed([x.tobytes() for x in parts])], names=["worker", "part", "at", "chunk", "n", "state"])
+
+        for batch in batches:
+            for worker, part, at, ids in zip(*(batch.column(c) for c in ("worker", "part", "at", "ids")), strict=True):
+                if whose is None or worker.as_py() != whose[0]:
+                    if held:
+                        learn()
+                    if whose:
+                        yield end()
+                    whose, n, learned = (worker.as_py(), part.as_py(), at.as_py()), int(share * r / SIDE / WINDOW), 0
+                    network = Network(np.ones(SHORTLIST))
+                    moments, a = network.moments(), 0
+                    for d in (network.p, *moments):
+                        for k, v in d.items():
+                            d[k] = shared.value[a : a + v.size].reshape(v.shape).copy()
+                            a += v.size
+                held.append(np.frombuffer(ids.as_buffer(), np.int16))
+                if len(held) == SIDE:
+                    learn()
+        if held:
+            learn()
+        if whose:
+            yield end()
+
+    return run
+
+
+def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The networks' mean, weighted by the ids they learned, chunk by chunk, and how many those are."""
+    sums: dict[int, tuple[int, np.ndarray]] = {}
+    for batch in batches:
+        for chunk, n, state in zip(*(batch.column(c) for c in ("chunk", "n", "state")), strict=True):
+            had, total = sums.get(chunk.as_py(), (0, 0.0))
+            sums[chunk.as_py()] = had + n.as_py(), total + n.as_py() * np.frombuffer(state.as_buffer(), np.float32).astype(np.float64)
+    for chunk, (n, total) in sums.items():
+        yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([n], pa.int64()), packed([(total / n).astype(np.float32).tobytes()])], names=["chunk", "n", "state"])
+
+
 def least_count(counts: DataFrame, most: int) -> int:
     """The least power of two such that no more than `most` words occur as often."""
 
