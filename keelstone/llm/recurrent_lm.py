@@ -56,6 +56,27 @@ def exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, out @ ones
 
 
+def by_gate(x: np.ndarray) -> np.ndarray:
+    """[gate, row, HIDDEN] of [row, 3 * HIDDEN]: each gate lies in one piece."""
+    return np.ascontiguousarray(x.reshape(-1, 3, HIDDEN).transpose(1, 0, 2))
+
+
+def cell(gates: np.ndarray, h: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The next state, and the state's share of n. gates: input's share of z, r, n [gate, lane, HIDDEN], becomes their values."""
+    s, zr, n = np.matmul(h, u), gates[:2], gates[2]
+    zr += s[:2]
+    zr *= 0.5
+    np.tanh(zr, out=zr)  # the logistic function by tanh
+    zr += 1
+    zr *= 0.5
+    n += zr[1] * s[2]
+    np.tanh(n, out=n)
+    new = h - n
+    new *= zr[0]
+    new += n
+    return new, s[2]
+
+
 class Network:
     """Embedding e, gates (z, r, n) from input w and state u with bias b, class layer c, word layer o of each class."""
 
@@ -70,20 +91,9 @@ class Network:
 
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         """The next state and the gates; x: input's share of the gates' sums."""
-        s = h @ self.p["u"]
-        zr = x[:, : 2 * HIDDEN] + s[:, : 2 * HIDDEN]
-        zr *= 0.5
-        np.tanh(zr, out=zr)  # the logistic function by tanh
-        zr += 1
-        zr *= 0.5
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = r * s[:, 2 * HIDDEN :]
-        n += x[:, 2 * HIDDEN :]
-        np.tanh(n, out=n)
-        new = h - n
-        new *= z
-        new += n
-        return new, z, r, n, s[:, 2 * HIDDEN :]
+        gates = by_gate(x)
+        new, s = cell(gates, h, by_gate(self.p["u"]))
+        return new, *gates, s
 
     def inputs(self) -> np.ndarray:
         return self.p["e"] @ self.p["w"] + self.p["b"]
@@ -114,24 +124,13 @@ class Network:
     def gradients(self, x: np.ndarray, y: np.ndarray, h: np.ndarray, live: np.ndarray | None = None) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
         """Of the mean loss over a window x, y [steps, lanes] from the state h; the last state; the loss in nats. Only the targets that are live count."""
         p, steps, lanes = self.p, *x.shape
-        kind, u_back = p["u"].dtype, np.ascontiguousarray(p["u"].T)
-        gates = self.inputs()[x]  # inputs' share, then z, r, n of each step
+        kind, u, w = p["u"].dtype, by_gate(p["u"]), by_gate(p["w"])
+        u_back = np.ascontiguousarray(u.transpose(0, 2, 1))
+        gates = by_gate(self.inputs()).take(x, 1)  # [gate, step, lane, HIDDEN]: inputs' share, then z, r, n
         trace, states = np.empty((steps, lanes, HIDDEN), kind), np.empty((steps + 1, lanes, HIDDEN), kind)
         states[0] = h
         for t in range(steps):
-            now, s = gates[t], states[t] @ p["u"]
-            zr, n = now[:, : 2 * HIDDEN], now[:, 2 * HIDDEN :]
-            zr += s[:, : 2 * HIDDEN]
-            zr *= 0.5
-            np.tanh(zr, out=zr)
-            zr += 1
-            zr *= 0.5
-            trace[t] = s[:, 2 * HIDDEN :]
-            n += zr[:, HIDDEN:] * trace[t]
-            np.tanh(n, out=n)
-            new = np.subtract(states[t], n, out=states[t + 1])
-            new *= zr[:, :HIDDEN]
-            new += n
+            states[t + 1], trace[t] = cell(gates[:, t], states[t], u)
         own = slice(None) if live is None else np.flatnonzero(live.ravel())
         ids, after = y.ravel()[own].astype(np.int64), states[1:].reshape(-1, HIDDEN)[own]
         g = {k: np.zeros_like(v) for k, v in p.items()}
@@ -162,30 +161,34 @@ class Network:
         back = np.zeros((steps * lanes, HIDDEN), kind)
         back[order if live is None else own[order]] = sorted_back
         back = back.reshape(steps, lanes, HIDDEN)
-        later, gates_back, from_state = np.zeros((lanes, HIDDEN), kind), np.empty((steps, lanes, 3 * HIDDEN), kind), np.empty((steps, lanes, 3 * HIDDEN), kind)
+        later, gates_back, from_state = np.zeros((lanes, HIDDEN), kind), np.empty((3, steps, lanes, HIDDEN), kind), np.empty((steps, lanes, HIDDEN), kind)
         for t in reversed(range(steps)):
-            z, r, n = (gates[t, :, i * HIDDEN : (i + 1) * HIDDEN] for i in range(3))
-            d, own_back = back[t], gates_back[t]
+            (z, r, n), (dz, dr, dn), d, dnr = gates[:, t], gates_back[:, t], back[t], from_state[t]
             d += later
-            kept = d * z
-            dn = d - kept
-            dn *= 1 - n * n
-            dz = states[t] - n
-            dz *= kept
-            dz *= 1 - z
-            dnr = dn * r
-            dr = dnr * trace[t]
-            dr *= 1 - r
-            own_back[:, :HIDDEN], own_back[:, HIDDEN : 2 * HIDDEN], own_back[:, 2 * HIDDEN :] = dz, dr, dn
-            from_state[t, :, : 2 * HIDDEN], from_state[t, :, 2 * HIDDEN :] = own_back[:, : 2 * HIDDEN], dnr
-            later = from_state[t] @ u_back
-            later += kept
-        flat_back, flat_x = gates_back.reshape(-1, 3 * HIDDEN), x.ravel().astype(np.int16)
-        g["u"] = states[:-1].reshape(-1, HIDDEN).T @ from_state.reshape(-1, 3 * HIDDEN)
-        g["b"], g["w"] = np.ones(len(flat_back), kind) @ flat_back, p["e"][flat_x].T @ flat_back
+            later = d * z
+            np.subtract(d, later, out=dn)
+            np.multiply(n, n, out=d)
+            np.subtract(1, d, out=d)
+            dn *= d
+            np.subtract(states[t], n, out=dz)
+            dz *= later
+            np.subtract(1, z, out=d)
+            dz *= d
+            np.multiply(dn, r, out=dnr)
+            np.multiply(dnr, trace[t], out=dr)
+            np.subtract(1, r, out=d)
+            dr *= d
+            later += dz @ u_back[0]
+            later += dr @ u_back[1]
+            later += dnr @ u_back[2]
+        flat_back, flat_x = gates_back.reshape(3, -1, HIDDEN), x.ravel().astype(np.int16)
+        joined = lambda parts: np.concatenate(list(parts), -1)
+        before, embedded = states[:-1].reshape(-1, HIDDEN).T, p["e"][flat_x].T
+        g["u"] = joined(before @ f for f in (*flat_back[:2], from_state.reshape(-1, HIDDEN)))
+        g["b"], g["w"] = joined(np.matmul(np.ones(len(flat_x), kind), flat_back)), joined(np.matmul(embedded, flat_back))
         order = np.argsort(flat_x, kind="stable")
         first = np.flatnonzero(np.diff(flat_x[order], prepend=-1))
-        g["e"][flat_x[order[first]]] = np.add.reduceat((flat_back @ p["w"].T)[order], first, axis=0)
+        g["e"][flat_x[order[first]]] = np.add.reduceat(sum(f @ own.T for f, own in zip(flat_back, w, strict=True))[order], first, axis=0)
         return g, states[-1].copy(), loss / max(1, len(ids))
 
     def learn(self, g: dict[str, np.ndarray], moments: tuple[dict, dict], n: int, rate: float) -> None:
@@ -250,7 +253,7 @@ class Network:
         order = np.argsort(-sizes, kind="stable")
         sizes, flat_ids = sizes[order], np.concatenate([np.append(texts[i], END) for i in order])
         starts = np.cumsum(sizes) - sizes
-        out, inputs = np.zeros(len(texts)), self.inputs()
+        out, inputs, u = np.zeros(len(texts)), by_gate(self.inputs()), by_gate(self.p["u"])
         h, last = np.zeros((len(texts), HIDDEN), np.float32), np.full(len(texts), END)
         every = np.arange(len(texts))
         t, ends = 0, -sizes
@@ -258,7 +261,7 @@ class Network:
             held, wanted, lane, size = [], [], [], 0
             while t < sizes[0] and size < SCORED_AT_ONCE:
                 m = int(np.searchsorted(ends, -t, "left"))
-                h[:m] = self.step(inputs[last[:m]], h[:m])[0]
+                h[:m] = cell(inputs.take(last[:m], 1), h[:m], u)[0]
                 now = flat_ids[starts[:m] + t]
                 held.append(h[:m].copy())
                 wanted.append(now)
