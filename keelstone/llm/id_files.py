@@ -17,7 +17,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -65,10 +65,10 @@ class Writer:
             self.words[self.n] = self.low >> 31
             self.low = (self.low & LOW) << WORD
             self.n += 1
-        words = self.words.reshape(-1, self.room)
-        sizes = self.n - np.arange(len(words)) * self.room
+        sizes = self.n - np.arange(len(self.n)) * self.room
+        words = self.words.reshape(-1, self.room)[:, : int(sizes.max(initial=0))]
         over = np.zeros(len(words), np.int64)
-        for i in range(int(sizes.max(initial=0)) - 1, -1, -1):
+        for i in range(words.shape[1] - 1, -1, -1):
             words[:, i] += over
             over = words[:, i] >> WORD
         raw = (words & ((1 << WORD) - 1)).astype("<u4")
@@ -298,6 +298,18 @@ def unpack(blocks: list[bytes], total: int, sums: list[int]) -> np.ndarray:
     return out
 
 
+class Numbers(dict):
+    """Numbers of runs in the order in which they are first asked for; fresh: those since it was last emptied."""
+
+    def __init__(self):
+        self.fresh: list[str] = []
+
+    def __missing__(self, run: str) -> int:
+        self.fresh.append(run)
+        self[run] = n = len(self)
+        return n
+
+
 class Tokens:
     """Ids of texts by the tokenizers library, run by run: texts are cut where the byte-level pre-tokenizer always starts a token, so runs are
     encoded once and remembered. Up to U+024F that is before and after each run of letters and digits, one space before it included, but for
@@ -319,7 +331,7 @@ class Tokens:
         self.forget()
 
     def forget(self):
-        self.number: dict[str, int] = {}
+        self.number = Numbers()
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
         self.starts, self.sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
 
@@ -329,24 +341,25 @@ class Tokens:
         return np.fromiter(chain.from_iterable(got), np.int32), np.fromiter(map(len, got), np.int64, len(got))
 
     def learn(self, runs: list[str]):
-        """Words with a space before them go to the library JOINED at a time: each starts at the next piece that has the space."""
-        words = [r for r in runs if self.words(r)]
-        rest = [r for r in runs if not self.words(r)]
+        """Of the last runs that got numbers. Words with a space before them go to the library JOINED at a time: each starts at the next piece that has the space."""
+        word = np.fromiter((self.words(r) is not None for r in runs), bool, len(runs))
+        words, rest = list(compress(runs, word)), list(compress(runs, ~word))
         ids, _ = self.library(["".join(words[a : a + JOINED]) for a in range(0, len(words), JOINED)])
         first = np.flatnonzero(self.space[ids])
         if len(first) != len(words):
-            first, rest, words, ids = first[:0], runs, [], ids[:0]
+            first, rest, word, ids = first[:0], runs, np.zeros(len(runs), bool), ids[:0]
         more, sizes = self.library(rest)
         ids, sizes = np.concatenate([ids, more]), np.concatenate([np.diff(np.append(first, len(ids))), sizes])
-        n, m, end = len(self.number), len(self.number) + len(runs), self.used + len(ids)
+        m, end = len(self.number), self.used + len(ids)
+        n = m - len(runs)
         if m > len(self.starts):
             self.starts, self.sizes = (np.concatenate([x, np.zeros(max(m, len(x)), x.dtype)]) for x in (self.starts, self.sizes))
         if end > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(end, len(self.flat)), np.int32)])
         self.flat[self.used : end] = ids
-        self.starts[n:m], self.sizes[n:m] = self.used + np.cumsum(sizes) - sizes, sizes
+        at = n + np.concatenate([np.flatnonzero(word), np.flatnonzero(~word)])
+        self.starts[at], self.sizes[at] = self.used + np.cumsum(sizes) - sizes, sizes
         self.used = end
-        self.number.update(zip(words + rest, range(n, m), strict=True))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, END after each text, and how many each text has."""
@@ -358,9 +371,10 @@ class Tokens:
             if t:
                 runs += self.cut.split(t) if self.plain.search(t) else self.runs(t)
             ends.append(len(runs))
-        if new := list({r: None for r in runs if r not in self.number}):
-            self.learn(new)
         at = np.fromiter(map(self.number.__getitem__, runs), np.int64, len(runs))
+        if new := self.number.fresh:
+            self.number.fresh = []
+            self.learn(new)
         starts, sizes = self.starts[at], self.sizes[at]
         own = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], ends]).astype(np.int64)]
         counts = np.diff(own) + 1

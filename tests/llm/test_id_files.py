@@ -47,3 +47,19 @@ def test_files(spark, tmp_path, monkeypatch):
     id_files.write(spark.createDataFrame(rows, SCHEMA), path, str(tmp_path / "f"))
     assert sum(len(r.ids) for r in id_files.read(spark, str(tmp_path / "f")).collect()) == start
     assert id_files.stored(spark.createDataFrame([], SCHEMA), path).collect() == []
+
+
+def test_runs_are_numbered_in_one_pass(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), id_files.Tokens(path)
+    rng = random.Random(4)
+    some = ["the", "  x", "it's", "Wörd,", "12", "漢字 b", "\n\n", "!?", "_a"]
+    monkeypatch.setattr(id_files, "KEPT_RUNS", 60)
+    for _ in range(12):  # runs of both kinds come up mixed, are known from texts before, and are forgotten
+        texts = [" ".join(rng.choice([*some, f"w{rng.randrange(40)}"]) for _ in range(rng.randrange(30))) for _ in range(8)]
+        ids, counts = own.encode(texts)
+        want = [library.encode(t, add_special_tokens=False).ids + [id_files.END] for t in texts]
+        assert ids.tolist() == sum(want, []) and counts.tolist() == list(map(len, want))
+        assert not own.number.fresh and len(own.number) <= len(own.starts)
