@@ -313,7 +313,7 @@ class Numbers(dict):
 class Tokens:
     """Ids of texts by the tokenizers library, run by run: texts are cut where the byte-level pre-tokenizer always starts a token, so runs are
     encoded once and remembered. Up to U+024F that is before and after each run of letters and digits, one space before it included, but for
-    apostrophes; other texts, and those with added tokens, are cut before a space and a letter, digit or _."""
+    apostrophes, and before the last of several white characters that such a run follows; other texts, and those with added tokens, are cut before a space and a letter, digit or _."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -323,7 +323,8 @@ class Tokens:
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.plain = re.compile("|".join(["[^\x00-\u024f]", *added]))
         word = "[^\\W_]+"
-        self.runs = re.compile(f" ?{word}|[\\W_]*'{word}|[\\W_]+(?= {word})|[\\W_]+").findall
+        white = "[\t-\r \x85\xa0]"
+        self.runs = re.compile(f" ?{word}|[\\W_]*'{word}|[\\W_]+(?= {word})|[\\W_]*{white}(?={white}{word})|[\\W_]+").findall
         self.words = re.compile(f" {word}").fullmatch
         self.space = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
         for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items():

@@ -63,3 +63,12 @@ def test_runs_are_numbered_in_one_pass(monkeypatch):
         want = [library.encode(t, add_special_tokens=False).ids + [id_files.END] for t in texts]
         assert ids.tolist() == sum(want, []) and counts.tolist() == list(map(len, want))
         assert not own.number.fresh and len(own.number) <= len(own.starts)
+
+
+def test_white_characters_before_a_word():
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), id_files.Tokens(path)
+    for t in ("a\n\nb", "\n\n1", "end.\n\n\nNext", " \t\tx", "\xa0\xa0x", "\n \x85é", "\n\n", "x\n\n y", "\n\n_"):
+        assert own.encode([t])[0].tolist()[:-1] == library.encode(t, add_special_tokens=False).ids
