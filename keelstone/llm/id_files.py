@@ -4,8 +4,11 @@ A block holds up to BLOCK ids. Each id is coded by an adaptive range coder with
 followed the two ids before it (order 2), the id that last followed the one before it (order 1), and the frequencies of the block so
 far (order 0), in which there are also places for a new id and for one that has come up since the table was last made. The weights
 of the three are learned: for each pair of hit runs of the two contexts they follow the outcomes so far. Tables and weights are made anew
-whenever a block has grown by a quarter. All blocks of a batch are coded side by side, some array steps for each id, and
-every block starts with fresh models. A block carries the CRC-32 of its ids; a reader checks it.
+whenever a block has grown by a quarter. Every block starts with fresh models. A block carries the CRC-32 of its ids; a reader checks it.
+
+Executors cut texts into runs, number the runs, code and decode in Spark's JVM (IdFiles.java); Python has the tokenizers library encode the runs
+that are new to a partition, and texts whose runs are cut otherwise. `pack` and `unpack` are the same coder in numpy, blocks coded side by side, and give
+the same bytes; sessions that have no JVM at hand (Spark Connect) run them.
 
 Files are Parquet rows with binary payloads, so they can lie in any store that Spark writes to.
 """
@@ -17,7 +20,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain, compress
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, ragged, shared_dir
+from . import jvm
+from .common import flat, pieces, ragged, shared_dir
 
 #: Ids in a block at most, values an id can have, slots of the order-0 table and its most entries, parts of the coder's interval, states of the mixer.
 BLOCK, ID_BITS, SLOT_BITS, LISTED, TOTAL, STATES, END = 4096, 18, 12, 1500, 1 << 24, 32, 2
@@ -36,7 +40,10 @@ LOW, WORD = (1 << 31) - 1, 32
 FILE_IDS, SORTED = 6_000_000, 1 << 20
 KEPT_RUNS = 600_000
 JOINED = 256
+#: Characters whose kind the JVM knows; texts with others are cut in Python.
+LETTERS = 0x250
 SCHEMA = "part int, seq int, doc_ids array<long>, counts array<int>, before long, blocks array<binary>, sums array<long>"
+CUT = "doc_id long, runs binary, fresh binary, sizes binary, anew boolean"
 
 
 class Writer:
@@ -115,7 +122,7 @@ class Models:
         self.counts = np.zeros((lanes, BLOCK), np.int32)
         self.kinds, self.listed, self.olds, self.kinds_before = (np.zeros(lanes, np.int64) for _ in range(4))
         state = np.arange(STATES)
-        one = 0.3 * np.stack([1 + (state >> 2 & 3), np.where(state < 16, 1 + (state & 3), 0), np.full(STATES, 3.3)], 1)
+        one = np.stack([3 * (1 + (state >> 2 & 3)), np.where(state < 16, 3 * (1 + (state & 3)), 0), np.full(STATES, 10)], 1)  # tenths
         self.outcomes = np.tile(one, (lanes, 1))
         self.weights = np.zeros(lanes * STATES, np.int64)  # of order 2 and, 24 bits lower, of order 1; order 0 has the rest
 
@@ -125,9 +132,8 @@ class Models:
         if steps:
             width, lane = int(self.kinds.max()), np.arange(lanes)
             self.counts[:, :width] += np.bincount((seen + lane * width).ravel(), minlength=lanes * width).reshape(lanes, width)
-            self.outcomes += np.bincount((outcomes + lane * (3 * STATES)).ravel(), minlength=lanes * 3 * STATES).reshape(-1, 3)
-            share = (TOTAL - (1 << 17)) / self.outcomes.sum(1)
-            w2, w1 = ((self.outcomes[:, i] * share).astype(np.int64) for i in range(2))
+            self.outcomes += 10 * np.bincount((outcomes + lane * (3 * STATES)).ravel(), minlength=lanes * 3 * STATES).reshape(-1, 3)
+            w2, w1 = (self.outcomes[:, i] * (TOTAL - (1 << 17)) // self.outcomes.sum(1) for i in range(2))
             self.weights = w2 << 24 | w1
         self.listed = np.minimum(self.kinds, LISTED)
         new = np.clip(SLOTS * (self.kinds - self.kinds_before) // max(steps, 1), 1, SLOTS // 4) if steps else np.full(lanes, SLOTS - 1)
@@ -320,9 +326,10 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cut = Tokenizer.from_file(path), re.compile(r"(?= \w)")
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.plain = re.compile("|".join(["[^\x00-\u024f]", *added]))
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.plain = re.compile("|".join(["[^\x00-\u024f]", *map(re.escape, self.added)]))
         word = "[^\\W_]+"
+        self.letters = bytes(re.fullmatch(word, chr(i)) is not None for i in range(LETTERS))
         white = "[\t-\r \x85\xa0]"
         self.runs = re.compile(f" ?{word}|[\\W_]*'{word}|[\\W_]+(?= {word})|[\\W_]*{white}(?={white}{word})|[\\W_]+").findall
         self.words = re.compile(f" {word}").fullmatch
@@ -341,25 +348,35 @@ class Tokens:
         got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(got), np.int32), np.fromiter(map(len, got), np.int64, len(got))
 
+    def learned(self, data: np.ndarray, sizes: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the runs of so many bytes each, and how many each has. word: which are a space and letters; they go to the library JOINED at a
+        time: each starts at the next piece that has the space."""
+        joined, ends = data[np.repeat(word, sizes)].tobytes(), np.cumsum(sizes[word])
+        cuts = [0, *ends[JOINED - 1 : -1 : JOINED].tolist(), len(joined)]
+        ids, _ = self.library([joined[a:b].decode() for a, b in zip(cuts, cuts[1:], strict=False)])
+        first = np.flatnonzero(self.space[ids])
+        if len(first) != len(ends):
+            first, word, ids = first[:0], np.zeros(len(sizes), bool), ids[:0]
+        raw, ends = data.tobytes(), np.cumsum(sizes)
+        more, counts = self.library([raw[b - n : b].decode() for b, n in zip(ends[~word].tolist(), sizes[~word].tolist(), strict=True)])
+        out, many = np.zeros(len(ids) + len(more), np.int32), np.zeros(len(sizes), np.int64)
+        many[word], many[~word] = np.diff(np.append(first, len(ids))), counts
+        of = np.repeat(word, many)
+        out[of], out[~of] = ids, more
+        return out, many
+
     def learn(self, runs: list[str]):
-        """Of the last runs that got numbers. Words with a space before them go to the library JOINED at a time: each starts at the next piece that has the space."""
+        """Of the last runs that got numbers."""
+        raw = [r.encode() for r in runs]
         word = np.fromiter((self.words(r) is not None for r in runs), bool, len(runs))
-        words, rest = list(compress(runs, word)), list(compress(runs, ~word))
-        ids, _ = self.library(["".join(words[a : a + JOINED]) for a in range(0, len(words), JOINED)])
-        first = np.flatnonzero(self.space[ids])
-        if len(first) != len(words):
-            first, rest, word, ids = first[:0], runs, np.zeros(len(runs), bool), ids[:0]
-        more, sizes = self.library(rest)
-        ids, sizes = np.concatenate([ids, more]), np.concatenate([np.diff(np.append(first, len(ids))), sizes])
+        ids, sizes = self.learned(np.frombuffer(b"".join(raw), np.uint8), np.fromiter(map(len, raw), np.int64, len(raw)), word)
         m, end = len(self.number), self.used + len(ids)
-        n = m - len(runs)
         if m > len(self.starts):
             self.starts, self.sizes = (np.concatenate([x, np.zeros(max(m, len(x)), x.dtype)]) for x in (self.starts, self.sizes))
         if end > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(end, len(self.flat)), np.int32)])
         self.flat[self.used : end] = ids
-        at = n + np.concatenate([np.flatnonzero(word), np.flatnonzero(~word)])
-        self.starts[at], self.sizes[at] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.starts[m - len(runs) : m], self.sizes[m - len(runs) : m] = self.used + np.cumsum(sizes) - sizes, sizes
         self.used = end
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -389,6 +406,38 @@ class Tokens:
 _mine: dict[str, Tokens] = {}
 
 
+def _tokens(path: str) -> Tokens:
+    if path not in _mine:
+        _mine[path] = Tokens(path)
+    return _mine[path]
+
+
+def _learned(own: Tokens, batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows of CUT, with ids in place of texts and numbers of ids in place of sizes of runs."""
+    data, at, _ = flat(batch.column("fresh"))
+    raw, sizes_at, _ = flat(batch.column("sizes"))
+    odd, sizes = np.asarray(batch.column("runs").is_null()), raw.view("<i4")
+    whole = np.repeat(odd, np.diff(at))
+    ids, many = own.learned(data[~whole], np.abs(sizes), sizes > 0)
+    counts = np.diff(np.concatenate([[0], np.cumsum(many)])[sizes_at // 4])
+    if odd.any():
+        text = data.tobytes()
+        found, counts[odd] = own.encode([text[a:b].decode() for a, b, o in zip(at.tolist(), at[1:].tolist(), odd.tolist(), strict=False) if o])
+        inner = np.ones(len(found), bool)
+        inner[np.cumsum(counts[odd]) - 1] = False  # the ends come later
+        counts[odd] -= 1
+        of = np.repeat(odd, counts)
+        both = np.zeros(len(of), np.int32)
+        both[of], both[~of] = found[inner], ids
+        ids = both
+
+    def binary(ends: np.ndarray, values: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(values.astype("<i4"))])
+
+    fresh, sizes = binary(4 * np.concatenate([[0], np.cumsum(counts)]), ids), binary(sizes_at, many)
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("runs"), fresh, sizes, batch.column("anew")], names=batch.schema.names)
+
+
 def write(docs: DataFrame, tokenizer: str, path: str, parts: int | None = None, codec: bool = True) -> None:
     """Writes the ids of all texts, in ascending doc_id order, to path: part p holds a range of ids, seq numbers its rows.
 
@@ -397,8 +446,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, parts: int | None = None,
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _mine.setdefault(tokenizer, None) or Tokens(tokenizer)
-        _mine[tokenizer] = own
+        own = _tokens(tokenizer)
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         held: list[tuple] = []
         size = 0
@@ -419,7 +467,21 @@ def write(docs: DataFrame, tokenizer: str, path: str, parts: int | None = None,
         if held:
             yield file()
 
-    docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").withColumn("tie", F.xxhash64("text")).repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie").mapInArrow(run, SCHEMA).write.parquet(path)
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "fresh"):
+                yield _learned(_tokens(tokenizer), piece)
+
+    spark = docs.sparkSession
+    inorder = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").withColumn("tie", F.xxhash64("text")).repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie")
+    if jvm.reachable(spark):
+        own = _tokens(tokenizer)
+        cut = jvm.new(spark, "IdFiles", "Cut").by(own.letters, [t.encode() for t in own.added], KEPT_RUNS)
+        cuts = jvm.map_partitions(inorder.withColumn("text", F.col("text").cast("binary")), cut, CUT)
+        rows = jvm.map_partitions(cuts.mapInArrow(learn, CUT), jvm.new(spark, "IdFiles", "Pack").by(FILE_IDS, END), SCHEMA)
+    else:
+        rows = inorder.mapInArrow(run, SCHEMA)
+    rows.write.parquet(path)
 
 
 def read(spark, path: str) -> DataFrame:
@@ -434,6 +496,9 @@ def _read(spark, path: str, digest: bool) -> DataFrame:
     for r in sorted(sizes):
         offsets[r["part"]] = total
         total += r["n"]
+    kinds = "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if digest else "ids array<int>")
+    if jvm.reachable(spark):
+        return jvm.map_partitions(files.select("part", "before", "doc_ids", "counts", "blocks", "sums"), jvm.new(spark, "IdFiles", "Unpack").by(offsets, digest), kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -449,7 +514,7 @@ def _read(spark, path: str, digest: bool) -> DataFrame:
                     last = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*first, last], names=["doc_id", "start", "n_tokens", "ids_crc32" if digest else "ids"])
 
-    return files.mapInArrow(run, "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if digest else "ids array<int>"))
+    return files.mapInArrow(run, kinds)
 
 
 def stored(docs: DataFrame, tokenizer: str) -> DataFrame:

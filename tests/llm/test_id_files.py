@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from keelstone.llm import id_files
+from keelstone.llm import id_files, jvm
 
 P = pytest.importorskip("public_tokenizers")
 SCHEMA = "doc_id long, text string, start string, ids_crc32 string"
@@ -72,3 +72,63 @@ def test_white_characters_before_a_word():
     library, own = Tokenizer.from_file(path), id_files.Tokens(path)
     for t in ("a\n\nb", "\n\n1", "end.\n\n\nNext", " \t\tx", "\xa0\xa0x", "\n \x85é", "\n\n", "x\n\n y", "\n\n_"):
         assert own.encode([t])[0].tolist()[:-1] == library.encode(t, add_special_tokens=False).ids
+
+
+def texts(n):
+    rng = random.Random(n)
+    some = ["the", "of", " ", "  x", "it's", "'s", "x' y", "don''t", "Wörd,", "é", "12", "_a", "a_b", "\n\n", "\t", "!?", " 'tis", "漢字 b", "🎉", "\x85", "\xa0", "ɏɐ", "<|endoftext|>", "'", "' "]
+    out = ["", None, " ", "'", "a'", " 'a", "x" * 5000, "\u024f", "\u0250"]
+    return out + [rng.choice(["", " "]).join(rng.choice([*some[: rng.choice([17, len(some)])], f" w{rng.randrange(300)}"]) for _ in range(rng.randrange(200))) for _ in range(n)]
+
+
+def test_files_are_coded_in_the_jvm_as_in_numpy(spark, tmp_path, monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    monkeypatch.setattr(id_files, "KEPT_RUNS", 150)
+    monkeypatch.setattr(id_files, "FILE_IDS", 9000)
+    rows = list(enumerate(texts(600)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    id_files.write(docs, path, str(tmp_path / "jvm"), parts=2)
+    assert "Python" not in (plan := id_files._read(spark, str(tmp_path / "jvm"), True)._jdf.queryExecution().toString()) and "Arrow" not in plan
+    files = sorted(spark.read.parquet(str(tmp_path / "jvm")).collect())
+    assert len(files) > 4
+    for f in files:
+        ids = [library.encode(rows[i][1] or "", add_special_tokens=False).ids + [id_files.END] for i in f.doc_ids]
+        assert f.counts == list(map(len, ids))
+        blocks, sums = id_files.pack(np.concatenate(ids))
+        assert list(map(bytes, f.blocks)) == blocks and f.sums == sums
+    own = [id_files._read(spark, str(tmp_path / "jvm"), d).sort("doc_id").collect() for d in (True, False)]
+    monkeypatch.setattr(jvm, "reachable", lambda spark: False)
+    assert own == [id_files._read(spark, str(tmp_path / "jvm"), d).sort("doc_id").collect() for d in (True, False)]
+    id_files.write(docs, path, str(tmp_path / "numpy"), parts=2)
+    assert own[0] == id_files._read(spark, str(tmp_path / "numpy"), True).sort("doc_id").collect()
+
+
+@pytest.mark.parametrize("n", [1, 4096, 4097, 30_000])
+def test_blocks_in_the_jvm(spark, n):
+    gateway, coder = spark.sparkContext._gateway, jvm.new(spark, "IdFiles", "Coder")
+    rng = np.random.default_rng(n)
+    for ids in (rng.integers(0, 1 << 18, n), rng.zipf(1.3, n) % 50_257, np.full(n, 50_256), np.tile([7, 8, 9], n)[:n], np.arange(n) % 50_257):
+        a = 0
+        for block, size in zip(id_files.pack(ids)[0], id_files.block_sizes(n, -(-n // 4096)).tolist(), strict=True):
+            got = gateway.new_array(gateway.jvm.int, size)
+            coder.unpack(block, got, 0, size)
+            assert list(got) == ids[a : a + size].tolist() and bytes(coder.pack(got, 0, size)) == block
+            a += size
+
+
+def test_damage_is_seen_in_the_jvm(spark, tmp_path):
+    rng = random.Random(5)
+    path, whole = P.path("byte_bpe_50k.json"), str(tmp_path / "f")
+    id_files.write(spark.createDataFrame([(i, " ".join(f"w{rng.randrange(900)}" for _ in range(500))) for i in range(20)], "doc_id long, text string"), path, whole, parts=1)
+    (f,) = spark.read.parquet(whole).collect()
+    blocks = list(map(bytes, f.blocks))
+    for k in range(6):
+        cut = rng.randrange(len(blocks[0]))
+        other = [blocks[1], blocks[0][:cut], blocks[0][:cut] + rng.randbytes(40), b"\xff" * len(blocks[0]), b"", None][k]
+        bad = [other, *blocks[1:]] if other is not None else blocks[1:]
+        spark.createDataFrame([(*f[:5], bad, f.sums)], id_files.SCHEMA).write.parquet(at := str(tmp_path / f"bad{k}"))
+        with pytest.raises(Exception, match="is damaged|are missing"):
+            id_files._read(spark, at, True).collect()
