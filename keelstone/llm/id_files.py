@@ -7,7 +7,7 @@ of the three are learned: for each pair of hit runs of the two contexts they fol
 whenever a block has grown by a quarter. Every block starts with fresh models. A block carries the CRC-32 of its ids; a reader checks it.
 
 Executors cut texts into runs, number the runs, code and decode in Spark's JVM (IdFiles.java); Python has the tokenizers library encode the runs
-that are new to a partition, and texts whose runs are cut otherwise. `pack` and `unpack` are the same coder in numpy, blocks coded side by side, and give
+that are new to a partition. `pack` and `unpack` are the same coder in numpy, blocks coded side by side, and give
 the same bytes; sessions that have no JVM at hand (Spark Connect) run them.
 
 Files are Parquet rows with binary payloads, so they can lie in any store that Spark writes to.
@@ -40,8 +40,8 @@ LOW, WORD = (1 << 31) - 1, 32
 FILE_IDS, SORTED = 6_000_000, 1 << 20
 KEPT_RUNS = 600_000
 JOINED = 256
-#: Characters whose kind the JVM knows; texts with others are cut in Python.
-LETTERS = 0x250
+#: Characters of plain texts.
+PLAIN = 0x250
 SCHEMA = "part int, seq int, doc_ids array<long>, counts array<int>, before long, blocks array<binary>, sums array<long>"
 CUT = "doc_id long, runs binary, fresh binary, sizes binary, anew boolean"
 
@@ -327,9 +327,8 @@ class Tokens:
 
         self.tokenizer, self.cut = Tokenizer.from_file(path), re.compile(r"(?= \w)")
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.plain = re.compile("|".join(["[^\x00-\u024f]", *map(re.escape, self.added)]))
+        self.plain = re.compile("|".join([f"[^\x00-{chr(PLAIN - 1)}]", *map(re.escape, self.added)]))
         word = "[^\\W_]+"
-        self.letters = bytes(re.fullmatch(word, chr(i)) is not None for i in range(LETTERS))
         white = "[\t-\r \x85\xa0]"
         self.runs = re.compile(f" ?{word}|[\\W_]*'{word}|[\\W_]+(?= {word})|[\\W_]*{white}(?={white}{word})|[\\W_]+").findall
         self.words = re.compile(f" {word}").fullmatch
@@ -338,6 +337,10 @@ class Tokens:
             self.space[i] = t.startswith("\u0120")
         self.forget()
 
+    def letters(self) -> bytes:
+        """What IdFiles.java has to know of each character below 2 ** 16: 1 for letters and digits of plain texts, 2 for others of words, _ apart."""
+        return bytes((1 + (i >= PLAIN)) * (re.fullmatch("[^\\W_]", chr(i)) is not None) for i in range(1 << 16))
+
     def forget(self):
         self.number = Numbers()
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
@@ -414,27 +417,15 @@ def _tokens(path: str) -> Tokens:
 
 def _learned(own: Tokens, batch: pa.RecordBatch) -> pa.RecordBatch:
     """Rows of CUT, with ids in place of texts and numbers of ids in place of sizes of runs."""
-    data, at, _ = flat(batch.column("fresh"))
+    data, _, _ = flat(batch.column("fresh"))
     raw, sizes_at, _ = flat(batch.column("sizes"))
-    odd, sizes = np.asarray(batch.column("runs").is_null()), raw.view("<i4")
-    whole = np.repeat(odd, np.diff(at))
-    ids, many = own.learned(data[~whole], np.abs(sizes), sizes > 0)
-    counts = np.diff(np.concatenate([[0], np.cumsum(many)])[sizes_at // 4])
-    if odd.any():
-        text = data.tobytes()
-        found, counts[odd] = own.encode([text[a:b].decode() for a, b, o in zip(at.tolist(), at[1:].tolist(), odd.tolist(), strict=False) if o])
-        inner = np.ones(len(found), bool)
-        inner[np.cumsum(counts[odd]) - 1] = False  # the ends come later
-        counts[odd] -= 1
-        of = np.repeat(odd, counts)
-        both = np.zeros(len(of), np.int32)
-        both[of], both[~of] = found[inner], ids
-        ids = both
+    sizes = raw.view("<i4")
+    ids, many = own.learned(data, np.abs(sizes), sizes > 0)
 
     def binary(ends: np.ndarray, values: np.ndarray) -> pa.Array:
         return pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(values.astype("<i4"))])
 
-    fresh, sizes = binary(4 * np.concatenate([[0], np.cumsum(counts)]), ids), binary(sizes_at, many)
+    fresh, sizes = binary(4 * np.concatenate([[0], np.cumsum(many)])[sizes_at // 4], ids), binary(sizes_at, many)
     return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("runs"), fresh, sizes, batch.column("anew")], names=batch.schema.names)
 
 
@@ -476,7 +467,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, parts: int | None = None,
     inorder = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").withColumn("tie", F.xxhash64("text")).repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie")
     if jvm.reachable(spark):
         own = _tokens(tokenizer)
-        cut = jvm.new(spark, "IdFiles", "Cut").by(own.letters, [t.encode() for t in own.added], KEPT_RUNS)
+        cut = jvm.new(spark, "IdFiles", "Cut").by(own.letters(), [t.encode() for t in own.added], KEPT_RUNS)
         cuts = jvm.map_partitions(inorder.withColumn("text", F.col("text").cast("binary")), cut, CUT)
         rows = jvm.map_partitions(cuts.mapInArrow(learn, CUT), jvm.new(spark, "IdFiles", "Pack").by(FILE_IDS, END), SCHEMA)
     else:

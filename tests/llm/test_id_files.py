@@ -76,7 +76,7 @@ def test_white_characters_before_a_word():
 
 def texts(n):
     rng = random.Random(n)
-    some = ["the", "of", " ", "  x", "it's", "'s", "x' y", "don''t", "Wörd,", "é", "12", "_a", "a_b", "\n\n", "\t", "!?", " 'tis", "漢字 b", "🎉", "\x85", "\xa0", "ɏɐ", "<|endoftext|>", "'", "' "]
+    some = ["the", "of", " ", "  x", "it's", "'s", "x' y", "don''t", "Wörd,", "é", "12", "_a", "a_b", "\n\n", "\t", "!?", " 'tis", "漢字 b", "🎉", "\x85", "\xa0", "ɏɐ", "<|endoftext|>", " жё", "—", "don’t", "\u2028", "a\u0301", " 漢", "'", "' "]
     out = ["", None, " ", "'", "a'", " 'a", "x" * 5000, "\u024f", "\u0250"]
     return out + [rng.choice(["", " "]).join(rng.choice([*some[: rng.choice([17, len(some)])], f" w{rng.randrange(300)}"]) for _ in range(rng.randrange(200))) for _ in range(n)]
 
