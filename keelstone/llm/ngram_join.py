@@ -97,6 +97,12 @@ def sketched(docs: DataFrame) -> DataFrame:
     return docs.withColumn("row_key", F.xxhash64("text")).mapInArrow(released(run), "doc_id long, row_key long, n long, k1 long, k2 long, segment int, counts binary")
 
 
+def fetched(segments: DataFrame) -> Iterator[tuple[int, pa.Buffer]]:
+    """The rows (segment, bytes) of a table of bounded size, by one job: toLocalIterator runs one for each partition, which the driver keeps on record."""
+    for batch in segments.toArrow().to_batches():
+        yield from zip(batch.column(0).to_pylist(), (x.as_buffer() for x in batch.column(1)), strict=True)
+
+
 def summed(rows: DataFrame) -> np.ndarray:
     """The frequency table: as many numbers whatever the input."""
 
@@ -109,8 +115,9 @@ def summed(rows: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.int32()), packed([np.minimum(x, 2**32 - 1).astype(np.uint32).tobytes() for x in own.values()])], names=["segment", "counts"])
 
     out = np.zeros(1 << SKETCH_BITS, np.uint32).reshape(-1, 1 << SEGMENT_BITS)
-    for r in rows.where("segment is not null").select("segment", "counts").repartition(len(out), "segment").mapInArrow(released(run), "segment int, counts binary").toLocalIterator():
-        out[r[0]] = np.frombuffer(r[1], np.uint32)
+    found = rows.where("segment is not null").select("segment", "counts").repartition(len(out), "segment").mapInArrow(released(run), "segment int, counts binary")
+    for s, raw in fetched(found):
+        out[s] = np.frombuffer(raw, np.uint32)
     return out.ravel()
 
 
@@ -206,8 +213,8 @@ def marks(values: DataFrame) -> tuple[int, np.ndarray] | None:
         return pa.RecordBatch.from_arrays([pa.array(list(own), pa.int32()), packed([x.tobytes() for x in own.values()])], names=["segment", "bits"])
 
     schema, out = "segment int, bits binary", np.zeros(1 << (bits - 3), np.uint8).reshape(-1, 1 << (MARK_SEGMENT - 3))
-    for r in values.mapInArrow(released(send), schema).repartition(64, "segment").mapInArrow(released(meet), schema).toLocalIterator():
-        out[r[0]] = np.frombuffer(r[1], np.uint8)
+    for s, raw in fetched(values.mapInArrow(released(send), schema).repartition(64, "segment").mapInArrow(released(meet), schema)):
+        out[s] = np.frombuffer(raw, np.uint8)
     return bits, out.ravel()
 
 

@@ -98,3 +98,23 @@ def test_one_of_each(spark):
     got = sorted(((r.doc_id or -1), r.text or "", r.n_shingles) for r in ngram_join.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect())
     assert got == sorted([(4, text, "a"), (2, other + " z", ""), (9, third, ""), (-1, text, ""), (-1, text, ""), (5, "", ""), (5, "", ""), (6, " ", "")])
     assert ngram_join.one_of_each(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def jobs(spark, name, run):
+    spark.sparkContext.setJobGroup(name, name)
+    run()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_the_driver_keeps_few_jobs_on_record(spark):
+    values = spark.range(3000).selectExpr("id v")
+    got = []
+    assert jobs(spark, "marks", lambda: got.append(ngram_join.marks(values))) < 10  # not one for each partition
+    assert ngram_join.is_marked(ngram_join.np.arange(3000), got[0]).all()
+    sets = ngram_join.sketched(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "q r s")], "doc_id long, text string")).cache()
+    assert jobs(spark, "summed", lambda: got.append(ngram_join.summed(sets))) < 10
+    assert sorted(got[1][got[1] > 0]) == [1, 2, 2]
+    stars = spark.createDataFrame([(i, i % 7) for i in range(7, 200)], "a long, b long")
+    assert jobs(spark, "stars", lambda: got.append(sorted(map(tuple, components(stars).collect())))) < 12  # nothing to be done but to see that
+    assert got[2] == sorted([(i, i % 7) for i in range(200)])
